@@ -1,12 +1,13 @@
 """Text cleaning, tokens and surface features as column expressions.
 
-Patterns use only syntax Java and RE2 share, with ASCII classes, so results do not depend on the
-regex engine.
+Character classes are ASCII throughout.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,8 +24,20 @@ NOT_LETTERS = r"[^a-zA-Z\s]"
 SPACES = r"\s+"
 
 
+def _guarded(needles: Sequence[str], pattern: str, replacement: str = "") -> Callable[[Column], Column]:
+    """A replacement that runs its regex only on texts that hold one of its fixed parts; a byte search
+    rules out the rest."""
+
+    def step(text: Column) -> Column:
+        found = reduce(or_, [text.contains(n) for n in needles])
+        return F.when(found, F.regexp_replace(text, pattern, replacement)).otherwise(text)
+
+    return step
+
+
 def squeeze(text: Column) -> Column:
-    return F.regexp_replace(text, SPACES, " ")
+    """Every run of whitespace as one space; single spaces are left alone, not rewritten."""
+    return F.regexp_replace(text, r"\s{2,}|[\t\n\x0B\f\r]", " ")
 
 
 def clean_full(text: Column, original_order: bool = False) -> Column:
@@ -34,39 +47,52 @@ def clean_full(text: Column, original_order: bool = False) -> Column:
     leaves `a` and `menu/z` stays. `original_order=True` keeps the historic order, where the URL step
     eats the link target and mentions match inside words.
     """
+    urls = ["http", "www.", "bit.ly/", "redd.it/"]
+    sentinels = ["[deleted]", "[removed]"]
     if original_order:
-        for pattern, replacement in (
-            (URLS, ""),
-            (SENTINELS, ""),
-            (MARKDOWN_LINK, "$1"),
-            (USER_MENTION, ""),
-            (COMMUNITY_MENTION, ""),
-        ):
-            text = F.regexp_replace(text, pattern, replacement)
-        return F.trim(squeeze(text))
-    text = F.regexp_replace(text, MARKDOWN_LINK, "$1")
-    text = F.regexp_replace(text, f"{URLS}|{SENTINELS}", "")
-    text = F.regexp_replace(text, rf"(^|[^a-zA-Z0-9_])(?:{USER_MENTION}|{COMMUNITY_MENTION})", "$1")
-    return F.trim(squeeze(text))
+        steps = [
+            (urls, URLS, ""),
+            (sentinels, SENTINELS, ""),
+            (["]("], MARKDOWN_LINK, "$1"),
+            (["u/"], USER_MENTION, ""),
+            (["r/"], COMMUNITY_MENTION, ""),
+        ]
+    else:
+        mention = rf"(^|[^a-zA-Z0-9_])(?:{USER_MENTION}|{COMMUNITY_MENTION})"
+        steps = [
+            (["]("], MARKDOWN_LINK, "$1"),
+            (urls + sentinels, f"{URLS}|{SENTINELS}", ""),
+            (["u/", "r/"], mention, "$1"),
+        ]
+    return F.trim(squeeze(_steps(text, steps)))
+
+
+def _steps(text: Column, steps: Sequence[tuple[Sequence[str], str, str]]) -> Column:
+    """Apply guarded replacements in order, each reading the result of the one before it once."""
+    for needles, pattern, replacement in steps:
+        text = F.element_at(F.transform(F.array(text), _guarded(needles, pattern, replacement)), 1)
+    return text
 
 
 def clean_light(text: Column, original_order: bool = False) -> Column:
     """Lighter clean that keeps mentions: URLs, sentinels, links to labels, whitespace."""
-    text = F.coalesce(text, F.lit(""))
-    drop = f"{SHORT_URLS}|{SENTINELS}"
-    if original_order:
-        return squeeze(F.regexp_replace(F.regexp_replace(text, drop, ""), MARKDOWN_LINK, "$1"))
-    return squeeze(F.regexp_replace(F.regexp_replace(text, MARKDOWN_LINK, "$1"), drop, ""))
+    drop = (["http", "www", "[deleted]", "[removed]"], f"{SHORT_URLS}|{SENTINELS}", "")
+    unwrap = (["]("], MARKDOWN_LINK, "$1")
+    steps = [drop, unwrap] if original_order else [unwrap, drop]
+    return squeeze(_steps(F.coalesce(text, F.lit("")), steps))
 
 
 def clean_letters(text: Column) -> Column:
-    """Letters and spaces only, lower case."""
-    return squeeze(F.lower(F.regexp_replace(text, f"{SHORT_URLS}|{BRACKETED}|{NOT_LETTERS}", "")))
+    """Letters and spaces only, lower case.
+
+    URLs and bracketed spans go first where there are any, then the other characters in runs.
+    """
+    return squeeze(F.lower(F.regexp_replace(clean_brackets(text), f"{NOT_LETTERS}+", "")))
 
 
 def clean_brackets(text: Column) -> Column:
     """Drop URLs and bracketed spans, keep the rest as it is."""
-    return F.regexp_replace(text, f"{SHORT_URLS}|{BRACKETED}", "")
+    return _steps(text, [(["http", "www", "["], f"{SHORT_URLS}|{BRACKETED}", "")])
 
 
 def submission_text(title: str = "title", selftext: str = "selftext") -> Column:
@@ -89,9 +115,11 @@ def tokens_space(text: Column) -> Column:
 
 
 def tokens_normalised(text: Column) -> Column:
-    """Whitespace tokens with everything but letters removed, lower case."""
-    stripped = F.transform(F.split(text, SPACES), lambda t: F.lower(F.regexp_replace(t, "[^A-Za-z]", "")))
-    return F.filter(stripped, lambda t: t != "")
+    """Whitespace tokens with everything but letters removed, lower case.
+
+    Removing the characters from the whole text first gives the same tokens as doing it per token.
+    """
+    return tokens_space(F.regexp_replace(text, r"[^A-Za-z\s]+", ""))
 
 
 def without_stop_words(tokens: Column, stop_words: Sequence[str]) -> Column:
@@ -99,15 +127,16 @@ def without_stop_words(tokens: Column, stop_words: Sequence[str]) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(words))
 
 
-def topic_tokens(tokens: Column, stop_words: Sequence[str], min_length: int = 3) -> Column:
-    """Keep alphabetic tokens of at least `min_length` letters that are not stop words or URL parts."""
+def topic_tokens(text: Column, stop_words: Sequence[str], min_length: int = 3) -> Column:
+    """Alphabetic tokens of at least `min_length` letters that are not stop words or URL parts.
+
+    The same tokens as splitting on non-word characters and testing each one, found in one pass.
+    """
     words = sorted(set(stop_words))
+    pattern = rf"(?<![a-z0-9_])[a-z]{{{min_length},}}+(?![a-z0-9_])"
     return F.filter(
-        tokens,
-        lambda t: t.rlike(f"^[a-z]{{{min_length},}}$")
-        & ~t.startswith("http")
-        & ~t.startswith("www")
-        & ~t.isin(words),
+        F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0)),
+        lambda t: ~t.startswith("http") & ~t.startswith("www") & ~t.isin(words),
     )
 
 

@@ -1,4 +1,7 @@
-"""Sentiment, emotion, profanity and benefit scores of posts, and their roll-ups."""
+"""Sentiment, emotion, profanity and benefit scores of posts, and their roll-ups.
+
+Token columns hold lower-case tokens, as `operators.text.with_tokens` makes them.
+"""
 
 from __future__ import annotations
 
@@ -111,7 +114,7 @@ def with_emotion(
     counts run over a short list."""
     keywords = keywords or vocab.EMOTION_KEYWORDS
     return (
-        df.withColumn("_found", lexicon.keep(F.transform(tokens, lambda t: F.lower(t)), lexicon.all_words(keywords)))
+        df.withColumn("_found", lexicon.keep(F.col(tokens), lexicon.all_words(keywords)))
         .withColumn("emotion_class", lexicon.top_label(F.col("_found"), keywords))
         .drop("_found")
     )
@@ -185,7 +188,7 @@ def profanity_rate(df: DataFrame, words: Sequence[str], tokens: str = "tokens")
     Hits are counted inside each post: no row per token, no join, one shuffle of per-community sums.
     A community without tokens has a NULL rate.
     """
-    found = lexicon.hits(F.transform(tokens, lambda t: F.lower(t)), words)
+    found = lexicon.hits(F.col(tokens), words)
     return (
         df.select("subreddit", F.coalesce(F.size(tokens), F.lit(0)).alias("_n"), found.alias("_bad"))
         .groupBy("subreddit")
@@ -211,7 +214,7 @@ def profanity_rate_by_join(df: DataFrame, words: DataFrame, tokens: str = "token
     )
     found = (
         df.select("subreddit", F.explode(tokens).alias("token"))
-        .groupBy("subreddit", F.lower("token").alias("word"))
+        .groupBy("subreddit", F.col("token").alias("word"))
         .agg(F.count(F.lit(1)).alias("n"))
         .join(words.select("word").distinct(), "word", "left_semi")
         .groupBy("subreddit")
@@ -229,7 +232,7 @@ def profanity_top(df: DataFrame, words: Sequence[str], n: int = 100, tokens: str
     window = Window.partitionBy("subreddit").orderBy(F.desc("count"), "token")
     listed = sorted(set(words))
     return (
-        df.select("subreddit", F.explode(F.filter(tokens, lambda t: F.lower(t).isin(listed))).alias("token"))
+        df.select("subreddit", F.explode(F.filter(tokens, lambda t: t.isin(listed))).alias("token"))
         .groupBy("subreddit", "token")
         .agg(F.count(F.lit(1)).alias("count"))
         .withColumn("rank", F.row_number().over(window))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import schemas
@@ -53,13 +53,24 @@ def with_text(df: DataFrame, name: str = "text") -> DataFrame:
 
 
 def long_enough(df: DataFrame, column: str, more_than: int) -> DataFrame:
-    """Rows whose text is present and longer than the limit."""
+    """Rows whose stored text is present and longer than the limit."""
     return df.where(F.length(column) > more_than)
 
 
+def with_kept(df: DataFrame, name: str, value: Column, keep: Callable[[Column], Column]) -> DataFrame:
+    """Add a derived column and drop the rows whose value fails the test, computing the value once.
+
+    A plain filter on the new column would be pushed below its projection, which runs an expensive
+    expression twice per row; a one-element list that is filtered and exploded does not.
+    """
+    return df.withColumn(name, F.explode(F.filter(F.array(value), keep)))
+
+
 def cleaned(df: DataFrame, column: str = "text", more_than: int = 10, original_order: bool = False) -> DataFrame:
     """Full forum clean; posts left with `more_than` characters or fewer are dropped."""
-    return long_enough(df.withColumn("cleaned", tx.clean_full(F.col(column), original_order)), "cleaned", more_than)
+    return with_kept(
+        df, "cleaned", tx.clean_full(F.col(column), original_order), lambda c: F.length(c) > more_than
+    )
 
 
 def lemmatise(df: DataFrame, lemmas: dict[str, str], column: str = "tokens") -> DataFrame:
@@ -123,10 +134,11 @@ def topic_documents(
     df: DataFrame, stop_words: Sequence[str], text: str = "body", more_than: int = 30
 ) -> DataFrame:
     """Posts with the filtered topic tokens; posts left without a token are dropped."""
-    return (
-        long_enough(df, text, more_than)
-        .withColumn("tokens_final", tx.topic_tokens(tx.tokens_regex(F.col(text)), stop_words))
-        .where(F.size("tokens_final") > 0)
+    return with_kept(
+        long_enough(df, text, more_than),
+        "tokens_final",
+        tx.topic_tokens(F.col(text), stop_words),
+        lambda tokens: F.size(tokens) > 0,
     )
 
 

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from forumlens.plans import behaviour, tables  # noqa: F401
+from forumlens.plans import behaviour, language, tables  # noqa: F401
 from forumlens.plans.registry import CATALOG
 
 __all__ = ["CATALOG"]

@@ -61,7 +61,7 @@ def community_stats_joined(spark: SparkSession, sf: str) -> DataFrame:
 ROLLUP_SQL = """m AS (SELECT subreddit, year(ts) AS year, month(ts) AS month,
       count(*) FILTER (data_type = 'comment') AS num_comments, count(*) FILTER (data_type = 'submission') AS num_submissions,
       count(*) AS total_rows,
-      round((coalesce(avg(score) FILTER (data_type = 'comment'), 0) + coalesce(avg(score) FILTER (data_type = 'submission'), 0)) / 2, 2) AS avg_score
+      CAST(round(CAST((coalesce(avg(score) FILTER (data_type = 'comment'), 0) + coalesce(avg(score) FILTER (data_type = 'submission'), 0)) / 2 AS DECIMAL(38, 10)), 2) AS DOUBLE) AS avg_score
     FROM meta GROUP BY ALL)"""
 
 
@@ -388,7 +388,7 @@ def top_author_profile(spark: SparkSession, sf: str) -> DataFrame:
     "top_authors_by_community",
     f"""WITH {TECH_META}, {PAIR_SQL}, p AS (SELECT subreddit, quantile_disc(total_posts, 0.99) AS p99_posts FROM sa GROUP BY subreddit),
     best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subreddit, author {BEST}) AS rn FROM tech) WHERE rn = 1)
-    SELECT sa.subreddit, sa.author, total_posts, round(avg_score, 6) AS avg_score, max_score, num_comments, num_submissions, p99_posts,
+    SELECT sa.subreddit, sa.author, total_posts, round(avg_score, 6) AS avg_score, max_score, sa.num_comments, num_submissions, p99_posts,
       best.score AS best_score, best.created_utc AS best_created_utc
     FROM sa JOIN p USING (subreddit) JOIN best ON best.subreddit = sa.subreddit AND best.author = sa.author
     WHERE total_posts >= p99_posts""",

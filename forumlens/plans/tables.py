@@ -552,7 +552,7 @@ def text_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "body_length_histogram",
-    """WITH {posts}, v AS (SELECT avg(length(body)) AS v FROM posts WHERE body IS NOT NULL GROUP BY subreddit),
+    """WITH {posts}, v AS MATERIALIZED (SELECT avg(length(body)) AS v FROM posts WHERE body IS NOT NULL GROUP BY subreddit),
     l AS (SELECT min(v) AS lo, max(v) AS hi FROM v)
     SELECT bin, round(lo + (hi - lo) / 30 * bin, 6) AS bin_start, round(lo + (hi - lo) / 30 * (bin + 1), 6) AS bin_end, count(*) AS n
     FROM (SELECT CAST(least(floor((v - lo) * 30 / (hi - lo)), 29) AS BIGINT) AS bin, lo, hi FROM v, l) GROUP BY ALL""",

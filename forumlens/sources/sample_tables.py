@@ -7,7 +7,7 @@ both joins are plain equalities. The same definition is kept as SQL beside it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Communities by `event_id mod 31`, the first one taking 17 of 31 shares.
@@ -34,93 +34,73 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _case(key: Column, values: dict[int, str], default: str) -> Column:
-    expr = F.when(key == -1, F.lit(default))
-    for k, v in values.items():
-        expr = expr.when(key == k, F.lit(v))
-    return expr.otherwise(F.lit(default))
-
+def _sql_case(key: str, values: dict[int, str], default: str) -> str:
+    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in values.items())
+    return f"CASE {key} {whens} ELSE '{default}' END"
 
-def posts_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Post columns that need no text: no join, and only the event columns used are read."""
-    e = F.col("event_id")
-    submission = F.col("event_type").isin("signup", "purchase")
 
-    def comment(value: Column) -> Column:
-        return F.when(~submission, value)
+IS_SUBMISSION = "event_type IN ('signup', 'purchase')"
+COMMUNITY = _sql_case("event_id % 31", {17 + i: n for i, n in enumerate(COMMUNITIES)}, "AskReddit")
+PHRASE = _sql_case("event_id % 12", {i: f" {p}" for i, p in enumerate(PHRASES)}, "")
+TITLE_START = "CASE event_id % 5 WHEN 0 THEN 'How ' WHEN 1 THEN 'Why ' ELSE '' END"
+TITLE_END = "CASE WHEN event_id % 3 = 0 THEN '?' WHEN event_id % 7 = 0 THEN '!' ELSE '' END"
+BODY = f"""CASE WHEN event_id % 17 = 0 THEN '[removed]' ELSE text || {PHRASE}
+  || CASE WHEN event_id % 6 = 0 THEN ' https://ex.org/a?b=1' ELSE '' END
+  || CASE WHEN event_id % 8 = 0 THEN ' [label](http://l.org)' ELSE '' END
+  || CASE WHEN event_id % 9 = 0 THEN ' u/some_one' ELSE '' END
+  || CASE WHEN event_id % 10 = 0 THEN ' r/some_sub' ELSE '' END END"""
 
-    def sub(value: Column) -> Column:
-        return F.when(submission, value)
 
-    link = F.concat(F.lit("t3_p"), (e - e % 10).cast("string"))
-    created = F.unix_seconds(F.col("ts").cast("timestamp")) + MONTH_SECONDS * (e % 14 - 7)
-    return (
-        table(spark, sf_dir, "events")
-        .select(
-            e,
-            F.when(submission, "submission").otherwise("comment").alias("data_type"),
-            F.concat(F.lit("p"), F.when(e % 101 == 1, e - 1).otherwise(e).cast("string")).alias("id"),
-            _case(e % 31, {17 + i: n for i, n in enumerate(COMMUNITIES)}, "AskReddit").alias("subreddit"),
-            F.when(e % 29 == 0, "[deleted]")
-            .otherwise(F.concat(F.lit("user_"), F.col("user_id").cast("string")))
-            .alias("author"),
-            created.cast("long").alias("created_utc"),
-            (F.floor("value") - 5).cast("long").alias("score"),
-            comment(link).alias("link_id"),
-            comment(link).alias("parent_id"),
-            comment((e % 11 == 0).cast("long")).alias("controversiality"),
-            comment((e % 97 == 0).cast("long")).alias("gilded"),
-            sub(F.get_json_object("props", "$.k").cast("long")).alias("num_comments"),
-            sub(e % 19 == 0).alias("over_18"),
-        )
-        .withColumn("date", F.to_date(F.timestamp_seconds("created_utc")))
-    )
+def posts_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Post columns that need no text: no join, and only the event columns used are read."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        f"CASE WHEN {IS_SUBMISSION} THEN 'submission' ELSE 'comment' END AS data_type",
+        "'p' || CASE WHEN event_id % 101 = 1 THEN event_id - 1 ELSE event_id END AS id",
+        f"{COMMUNITY} AS subreddit",
+        "CASE WHEN event_id % 29 = 0 THEN '[deleted]' ELSE 'user_' || user_id END AS author",
+        f"unix_seconds(CAST(ts AS TIMESTAMP)) + {MONTH_SECONDS} * (event_id % 14 - 7) AS created_utc",
+        "CAST(floor(value) - 5 AS BIGINT) AS score",
+        f"CASE WHEN NOT {IS_SUBMISSION} THEN 't3_p' || (event_id - event_id % 10) END AS link_id",
+        f"CASE WHEN NOT {IS_SUBMISSION} THEN 't3_p' || (event_id - event_id % 10) END AS parent_id",
+        f"CASE WHEN NOT {IS_SUBMISSION} THEN CAST(event_id % 11 = 0 AS BIGINT) END AS controversiality",
+        f"CASE WHEN NOT {IS_SUBMISSION} THEN CAST(event_id % 97 = 0 AS BIGINT) END AS gilded",
+        f"CASE WHEN {IS_SUBMISSION} THEN CAST(get_json_object(props, '$.k') AS BIGINT) END AS num_comments",
+        f"CASE WHEN {IS_SUBMISSION} THEN event_id % 19 = 0 END AS over_18",
+    ).selectExpr("*", "to_date(timestamp_seconds(created_utc)) AS date")
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the unified posts."""
-    e = F.col("event_id")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pages = table(spark, sf_dir, "pages").select(
-        "page_id", F.col("url").alias("page_url"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("head")
+    pages = table(spark, sf_dir, "pages").selectExpr(
+        "page_id", "url AS page_url", "regexp_extract(html, '<title>([^<]*)</title>', 1) AS head"
     )
-    base = (
+    n_documents = documents.agg(F.count(F.lit(1))).scalar()
+    n_pages = pages.agg(F.count(F.lit(1))).scalar()
+    # Each text returns once per event, so the join makes far more bytes than its inputs hold. Spreading
+    # the documents on the join key first keeps that work off the few splits of a small file; a join
+    # that shuffles anyway reuses this partitioning.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    documents = documents.repartition(tasks, "doc_id")
+    return (
         posts_meta(spark, sf_dir)
-        .withColumn("doc_id", e % documents.agg(F.count(F.lit(1))).scalar())
-        .withColumn("page_id", e % pages.agg(F.count(F.lit(1))).scalar())
+        .select("*", (F.col("event_id") % n_documents).alias("doc_id"), (F.col("event_id") % n_pages).alias("page_id"))
         .join(documents, "doc_id")
         .join(pages, "page_id")
-    )
-    phrase = _case(e % 12, {i: f" {p}" for i, p in enumerate(PHRASES)}, "")
-
-    def extra(modulus: int, text: str) -> Column:
-        return F.when(e % modulus == 0, F.lit(text)).otherwise(F.lit(""))
-
-    submission = F.col("data_type") == "submission"
-    body = F.when(e % 17 == 0, F.lit("[removed]")).otherwise(
-        F.concat(
-            F.col("text"), phrase, extra(6, " https://ex.org/a?b=1"), extra(8, " [label](http://l.org)"),
-            extra(9, " u/some_one"), extra(10, " r/some_sub"),
+        .selectExpr(
+            "event_id", "data_type", "id", "subreddit", "author", "created_utc", "score",
+            f"CASE WHEN data_type = 'comment' THEN {BODY} END AS body",
+            "link_id", "parent_id", "controversiality", "gilded",
+            f"""CASE WHEN data_type = 'submission' THEN {TITLE_START}
+              || repeat(head || ' ', CAST(1 + event_id % 6 AS INT)) || {TITLE_END} END AS title""",
+            f"""CASE WHEN data_type = 'submission' AND event_id % 4 <> 0 THEN
+              CASE WHEN event_id % 13 = 0 THEN '[removed]' ELSE text || {PHRASE} END END AS selftext""",
+            "num_comments",
+            "CASE WHEN data_type = 'submission' AND event_id % 2 = 0 THEN page_url END AS url",
+            "over_18", "date",
         )
     )
-    title = F.concat(
-        F.when(e % 5 == 0, "How ").when(e % 5 == 1, "Why ").otherwise(""),
-        F.expr("repeat(head || ' ', cast(1 + event_id % 6 as int))"),
-        F.when(e % 3 == 0, "?").when(e % 7 == 0, "!").otherwise(""),
-    )
-    selftext = F.when(e % 4 == 0, F.lit(None)).when(e % 13 == 0, F.lit("[removed]")).otherwise(
-        F.concat(F.col("text"), phrase)
-    )
-    return base.select(
-        "event_id", "data_type", "id", "subreddit", "author", "created_utc", "score",
-        F.when(~submission, body).alias("body"),
-        "link_id", "parent_id", "controversiality", "gilded",
-        F.when(submission, title).alias("title"),
-        F.when(submission, selftext).alias("selftext"),
-        "num_comments",
-        F.when(submission & (e % 2 == 0), F.col("page_url")).alias("url"),
-        "over_18", "date",
-    )
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,50 +131,35 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sql_case(key: str, values: dict[int, str], default: str) -> str:
-    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in values.items())
-    return f"CASE {key} {whens} ELSE '{default}' END"
-
-
 META_SQL = f"""
 meta AS (
-  SELECT e.*, CAST(make_timestamp(created_utc * 1000000) AS DATE) AS date,
-         make_timestamp(created_utc * 1000000) AS ts
+  SELECT e.*, CAST(make_timestamp(created_utc * 1000000) AS DATE) AS date, make_timestamp(created_utc * 1000000) AS ts
   FROM (
     SELECT event_id,
-      CASE WHEN event_type IN ('signup', 'purchase') THEN 'submission' ELSE 'comment' END AS data_type,
+      CASE WHEN {IS_SUBMISSION} THEN 'submission' ELSE 'comment' END AS data_type,
       'p' || CAST(CASE WHEN event_id % 101 = 1 THEN event_id - 1 ELSE event_id END AS VARCHAR) AS id,
-      {_sql_case("event_id % 31", {17 + i: n for i, n in enumerate(COMMUNITIES)}, "AskReddit")} AS subreddit,
+      {COMMUNITY} AS subreddit,
       CASE WHEN event_id % 29 = 0 THEN '[deleted]' ELSE 'user_' || CAST(user_id AS VARCHAR) END AS author,
       CAST(floor(epoch(ts)) AS BIGINT) + {MONTH_SECONDS} * (event_id % 14 - 7) AS created_utc,
       CAST(floor(value) AS BIGINT) - 5 AS score,
-      CASE WHEN event_type NOT IN ('signup', 'purchase') THEN 't3_p' || CAST(event_id - event_id % 10 AS VARCHAR) END AS link_id,
-      CASE WHEN event_type NOT IN ('signup', 'purchase') THEN 't3_p' || CAST(event_id - event_id % 10 AS VARCHAR) END AS parent_id,
-      CASE WHEN event_type NOT IN ('signup', 'purchase') THEN CAST(event_id % 11 = 0 AS BIGINT) END AS controversiality,
-      CASE WHEN event_type NOT IN ('signup', 'purchase') THEN CAST(event_id % 97 = 0 AS BIGINT) END AS gilded,
-      CASE WHEN event_type IN ('signup', 'purchase') THEN CAST(props->>'$.k' AS BIGINT) END AS num_comments,
-      CASE WHEN event_type IN ('signup', 'purchase') THEN event_id % 19 = 0 END AS over_18
+      CASE WHEN NOT {IS_SUBMISSION} THEN 't3_p' || CAST(event_id - event_id % 10 AS VARCHAR) END AS link_id,
+      CASE WHEN NOT {IS_SUBMISSION} THEN 't3_p' || CAST(event_id - event_id % 10 AS VARCHAR) END AS parent_id,
+      CASE WHEN NOT {IS_SUBMISSION} THEN CAST(event_id % 11 = 0 AS BIGINT) END AS controversiality,
+      CASE WHEN NOT {IS_SUBMISSION} THEN CAST(event_id % 97 = 0 AS BIGINT) END AS gilded,
+      CASE WHEN {IS_SUBMISSION} THEN CAST(props->>'$.k' AS BIGINT) END AS num_comments,
+      CASE WHEN {IS_SUBMISSION} THEN event_id % 19 = 0 END AS over_18
     FROM events
   ) e
 )"""
 
-_PHRASE_SQL = _sql_case("event_id % 12", {i: f" {p}" for i, p in enumerate(PHRASES)}, "")
-
 POSTS_SQL = f"""{META_SQL},
 posts AS (
   SELECT m.*,
-    CASE WHEN data_type = 'comment' THEN
-      CASE WHEN event_id % 17 = 0 THEN '[removed]' ELSE d.text || {_PHRASE_SQL}
-        || CASE WHEN event_id % 6 = 0 THEN ' https://ex.org/a?b=1' ELSE '' END
-        || CASE WHEN event_id % 8 = 0 THEN ' [label](http://l.org)' ELSE '' END
-        || CASE WHEN event_id % 9 = 0 THEN ' u/some_one' ELSE '' END
-        || CASE WHEN event_id % 10 = 0 THEN ' r/some_sub' ELSE '' END END END AS body,
-    CASE WHEN data_type = 'submission' THEN
-      CASE event_id % 5 WHEN 0 THEN 'How ' WHEN 1 THEN 'Why ' ELSE '' END
-        || repeat(regexp_extract(p.html, '<title>([^<]*)</title>', 1) || ' ', 1 + event_id % 6)
-        || CASE WHEN event_id % 3 = 0 THEN '?' WHEN event_id % 7 = 0 THEN '!' ELSE '' END END AS title,
+    CASE WHEN data_type = 'comment' THEN {BODY} END AS body,
+    CASE WHEN data_type = 'submission' THEN {TITLE_START}
+      || repeat(regexp_extract(p.html, '<title>([^<]*)</title>', 1) || ' ', 1 + event_id % 6) || {TITLE_END} END AS title,
     CASE WHEN data_type = 'submission' AND event_id % 4 <> 0 THEN
-      CASE WHEN event_id % 13 = 0 THEN '[removed]' ELSE d.text || {_PHRASE_SQL} END END AS selftext,
+      CASE WHEN event_id % 13 = 0 THEN '[removed]' ELSE text || {PHRASE} END END AS selftext,
     CASE WHEN data_type = 'submission' AND event_id % 2 = 0 THEN p.url END AS url
   FROM meta m
   JOIN documents d ON d.doc_id = m.event_id % (SELECT count(*) FROM documents)

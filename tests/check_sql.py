@@ -28,6 +28,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TIMES = {}
+
+
 def _cell(value):
     if isinstance(value, float):
         return "NaN" if math.isnan(value) else f"{value:.6f}" if value else "0.000000"
@@ -45,8 +48,10 @@ def rows(columns: list[str], data) -> list[tuple]:
 
 def compare(spark, con, run, sql: str, sf_dir: str) -> str | None:
     """None when both sides agree, else what differs."""
+    start = time.time()
     df = run(spark, sf_dir)
     ours = rows(df.columns, [tuple(r) for r in df.collect()])
+    TIMES["spark"] = time.time() - start
     if sql is None:
         return None
     result = con.execute(sql)
@@ -73,6 +78,7 @@ def main() -> int:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
@@ -89,7 +95,7 @@ def main() -> int:
             problem = f"{type(error).__name__}: {str(error)[:900]}"
         bad += problem is not None
         kind = "sql " if name in sqls else "rows"
-        print(f"{'FAIL' if problem else 'ok  '} {kind} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
+        print(f"{'FAIL' if problem else 'ok  '} {kind} {name} {TIMES.get('spark', 0):.1f}s of {time.time() - start:.1f}s {problem or ''}", flush=True)
     print(f"{bad} problems")
     return 1 if bad else 0
 
