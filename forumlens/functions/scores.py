@@ -36,4 +36,4 @@ def pct(condition: Column) -> Column:
 def unit_hash(key: Column, seed: int = 42) -> Column:
     """Reproducible uniform value in [0, 1) for a key and a seed."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")).cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))

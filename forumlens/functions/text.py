@@ -179,8 +179,8 @@ def length_bin(length: Column) -> Column:
 
 def surface_features(text: Column) -> dict[str, Column]:
     """Question mark, URL, exclamation count and the share of upper-case letters."""
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    capitals = F.regexp_count(text, F.lit(r"\p{Lu}"))
+    letters = F.length(text) - F.length(F.regexp_replace(text, r"\p{L}+", ""))
+    capitals = F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}+", ""))
     return {
         "has_question": text.contains("?").cast("double"),
         "has_url": (text.contains("http") | text.contains("www")).cast("double"),

@@ -206,23 +206,24 @@ def profanity_rate(df: DataFrame, words: Sequence[str], tokens: str = "tokens")
 def profanity_rate_by_join(df: DataFrame, words: DataFrame, tokens: str = "tokens") -> DataFrame:
     """The same rate for a word list kept as a table of any size.
 
-    Tokens are counted per (community, token) before they meet the list, so the join sees distinct
-    words and no hot word crosses it more than once per community.
+    One pass counts tokens and posts per (community, token); only those counts meet the list, so no
+    hot word crosses the join more than once per community. The first token of a post, or the NULL of
+    an empty one, counts the post.
     """
-    totals = df.groupBy("subreddit").agg(
-        F.count(F.lit(1)).alias("total_posts"), F.sum(F.size(tokens)).alias("total_tokens")
-    )
-    found = (
-        df.select("subreddit", F.explode(tokens).alias("token"))
-        .groupBy("subreddit", F.col("token").alias("word"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(words.select("word").distinct(), "word", "left_semi")
-        .groupBy("subreddit")
-        .agg(F.sum("n").alias("total_bad_words"))
+    counted = (
+        df.select("subreddit", F.posexplode_outer(tokens).alias("pos", "word"))
+        .groupBy("subreddit", "word")
+        .agg(F.count("word").alias("n"), F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("posts"))
     )
+    listed = words.select("word").distinct().withColumn("listed", F.lit(True))
     return (
-        totals.join(found, "subreddit", "left")
-        .fillna(0, ["total_bad_words"])
+        counted.join(listed, "word", "left")
+        .groupBy("subreddit")
+        .agg(
+            F.sum("posts").alias("total_posts"),
+            F.sum("n").alias("total_tokens"),
+            F.sum(F.when(F.col("listed"), F.col("n")).otherwise(0)).alias("total_bad_words"),
+        )
         .withColumn("overall_bad_word_pct", F.try_divide("total_bad_words", "total_tokens") * 100)
     )
 
@@ -246,7 +247,10 @@ def profanity_top(df: DataFrame, words: Sequence[str], n: int = 100, tokens: str
 def with_benefit_flags(
     df: DataFrame, keywords: Mapping[str, Sequence[str]] | None = None, tokens: str = "tokens"
 ) -> DataFrame:
-    return df.withColumns(lexicon.benefit_flags(F.col(tokens), keywords))
+    """Boolean column per benefit. The few listed tokens are picked out first; eight short tests follow."""
+    words = lexicon.all_words(keywords or vocab.BENEFIT_KEYWORDS)
+    found = df.withColumn("_found", F.coalesce(lexicon.keep(F.col(tokens), words), F.array()))
+    return found.withColumns(lexicon.benefit_flags(F.col("_found"), keywords)).drop("_found")
 
 
 def benefit_percentages(flagged: DataFrame, names: Sequence[str] = tuple(vocab.BENEFIT_KEYWORDS)) -> DataFrame:

@@ -101,7 +101,7 @@ def session_smoke(spark: SparkSession, sf: str) -> DataFrame:
     "sample_hash",
     """WITH {meta}
     SELECT subreddit, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM meta
-    WHERE CAST('0x' || substr(md5('42:' || id), 1, 8) AS BIGINT) / 4294967296.0 < 0.3 GROUP BY ALL""",
+    WHERE CAST('0x' || substr(md5('42:' || id), 1, 13) AS BIGINT) / 4503599627370496.0 < 0.3 GROUP BY ALL""",
 )
 def sample_hash(spark: SparkSession, sf: str) -> DataFrame:
     return (
@@ -114,7 +114,7 @@ def sample_hash(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "hash_split",
     """WITH {meta}
-    SELECT CASE WHEN CAST('0x' || substr(md5('42:' || id), 1, 8) AS BIGINT) / 4294967296.0 < 0.8
+    SELECT CASE WHEN CAST('0x' || substr(md5('42:' || id), 1, 13) AS BIGINT) / 4503599627370496.0 < 0.8
                 THEN 'train' ELSE 'test' END AS part,
            data_type, count(*) AS n, CAST(sum(score) AS BIGINT) AS score_sum FROM meta GROUP BY ALL""",
 )
@@ -129,7 +129,7 @@ def hash_split(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "cap_documents",
     """SELECT doc_id, source, n_chars FROM documents
-    ORDER BY CAST('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT), doc_id LIMIT 500""",
+    ORDER BY CAST('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT), doc_id LIMIT 500""",
 )
 def cap_documents(spark: SparkSession, sf: str) -> DataFrame:
     return readers.cap_documents(
@@ -552,10 +552,10 @@ def text_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "body_length_histogram",
-    """WITH {posts}, v AS MATERIALIZED (SELECT avg(length(body)) AS v FROM posts WHERE body IS NOT NULL GROUP BY subreddit),
-    l AS (SELECT min(v) AS lo, max(v) AS hi FROM v)
+    """WITH {posts}, v AS (SELECT avg(length(body)) AS v FROM posts GROUP BY subreddit),
+    l AS (SELECT v, min(v) OVER () AS lo, max(v) OVER () AS hi FROM v)
     SELECT bin, round(lo + (hi - lo) / 30 * bin, 6) AS bin_start, round(lo + (hi - lo) / 30 * (bin + 1), 6) AS bin_end, count(*) AS n
-    FROM (SELECT CAST(least(floor((v - lo) * 30 / (hi - lo)), 29) AS BIGINT) AS bin, lo, hi FROM v, l) GROUP BY ALL""",
+    FROM (SELECT CAST(least(floor((v - lo) * 30 / (hi - lo)), 29) AS BIGINT) AS bin, lo, hi FROM l) GROUP BY ALL""",
 )
 def body_length_histogram(spark: SparkSession, sf: str) -> DataFrame:
     from forumlens.operators.histogram import histogram
