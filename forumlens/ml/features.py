@@ -11,11 +11,8 @@ from pyspark.ml.feature import (
     HashingTF,
     NGram,
     OneHotEncoder,
-    RegexTokenizer,
     StandardScaler,
-    StopWordsRemover,
     StringIndexer,
-    Tokenizer,
     VectorAssembler,
     Word2Vec,
 )
@@ -45,6 +42,7 @@ def submission_features(df: DataFrame) -> DataFrame:
     return (
         df.withColumn("ai_category", categories.by_folded_name())
         .withColumn("processed_text", text.clean_brackets(text.submission_text()))
+        .withColumn("words", text.tokens_space(F.col("processed_text")))
         .withColumn("text_length", F.length("processed_text"))
         .withColumn("word_count", F.size(F.split("processed_text", text.SPACES)))
         .withColumn("hour_of_day", time.hour_of_day())
@@ -97,14 +95,12 @@ def log_score_features(df: DataFrame) -> DataFrame:
     )
 
 
-def words_pipeline(extra_stop_words: Sequence[str] = tuple(vocab.MODEL_STOP_WORDS), column: str = "text") -> list:
+def with_words(
+    df: DataFrame, extra_stop_words: Sequence[str] = tuple(vocab.MODEL_STOP_WORDS), column: str = "text"
+) -> DataFrame:
     """Tokens on non-word characters without stop words, as `words_clean`."""
-    return [
-        RegexTokenizer(inputCol=column, outputCol="words", pattern="\\W+", toLowercase=True),
-        StopWordsRemover(
-            inputCol="words", outputCol="words_clean", stopWords=default_stop_words(extra_stop_words, False)
-        ),
-    ]
+    stops = default_stop_words(extra_stop_words, False)
+    return df.withColumn("words_clean", text.without_stop_words(text.tokens_regex(F.col(column)), stops))
 
 
 def tfidf_stages(column: str = "words_clean", vocab_size: int = 8000, min_df: float = 50) -> list:
@@ -118,7 +114,6 @@ def tfidf_stages(column: str = "words_clean", vocab_size: int = 8000, min_df: fl
 def engagement_stages(vocab_size: int = 8000, min_df: float = 50) -> list:
     """TF-IDF, topic weights, time and length in one vector."""
     return [
-        *words_pipeline(),
         *tfidf_stages("words_clean", vocab_size, min_df),
         VectorAssembler(
             inputCols=["tfidf_features", "topicDistribution", *TIME_AND_LENGTH], outputCol="features"
@@ -134,7 +129,6 @@ def embedding_stages(df: DataFrame, size: int = 100, min_count: int = 20, seed:
     """
     partitions = max(1, df.sparkSession.sparkContext.defaultParallelism)
     return [
-        *words_pipeline(),
         Word2Vec(
             inputCol="words_clean", outputCol="w2v_features", vectorSize=size, minCount=min_count, maxIter=5,
             seed=seed, numPartitions=partitions,
@@ -169,7 +163,6 @@ def classifier_stages(
         else HashingTF(inputCol="words", outputCol="tf_features", numFeatures=features)
     )
     return [
-        Tokenizer(inputCol="processed_text", outputCol="words"),
         terms,
         IDF(inputCol="tf_features", outputCol="text_features"),
         VectorAssembler(inputCols=[*numeric, "text_features"], outputCol="raw_features", handleInvalid="skip"),
@@ -196,12 +189,5 @@ def with_bigrams(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return pairs.withColumn("terms", F.concat(F.col(tokens), F.col("_pairs"))).drop("_pairs")
 
 
-def sublinear_tfidf(vocab_size: int = 1 << 18, min_df: float = 5, max_df: float = 0.8) -> list:
-    """IDF-weighted terms of `terms`; see `dampen` for the logarithm of the counts."""
-    return [
-        CountVectorizer(inputCol="terms", outputCol="raw_tf", vocabSize=vocab_size, minDF=min_df, maxDF=max_df)
-    ]
-
-
 def fit(stages: Sequence, df: DataFrame) -> PipelineModel:
     return Pipeline(stages=list(stages)).fit(df)
