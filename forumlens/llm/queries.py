@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forumlens.llm.common import read
 from forumlens.llm.minhash import near_duplicates
+from forumlens.llm.quality import judge, train
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return judge(docs, train(docs, read(spark, sf_dir, "labels")))
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +21,7 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op6_minhash": op6_minhash,
 }
 
