@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from forumlens.llm.common import read
+from forumlens.llm.decontaminate import find_leaks
 from forumlens.llm.minhash import near_duplicates
+from forumlens.llm.packing import digests, pack
 from forumlens.llm.quality import judge, train
 
 
@@ -16,13 +18,23 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, train(docs, read(spark, sf_dir, "labels")))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).drop("class_id")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(pack(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op3_decontaminate": op3_decontaminate,
     "op6_minhash": op6_minhash,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
