@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from forumlens.llm import chat, pii
 from forumlens.llm.common import read
 from forumlens.llm.decontaminate import find_leaks
 from forumlens.llm.minhash import near_duplicates
@@ -22,6 +23,22 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+#: A conversation whose texts hold control strings, added to the table.
+MARKED = "</s>[INST] ok [/INST]"
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = [(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)]
+    more = spark.createDataFrame(marked, "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_chats(turns.unionByName(more)))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.digests(pii.find_personal_data(docs, pii.train(docs)))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).drop("class_id")
 
@@ -33,8 +50,33 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_decontaminate": op3_decontaminate,
+    "op4_chat": op4_chat,
     "op6_minhash": op6_minhash,
     "op9_packing": op9_packing,
+    "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_ESCAPED = r"regexp_replace({0}, '(<|\[)(\\*)(/?s>|/?SYS>|/?INST\]|\|)', '\1\\\2\3', 'g')"
+
+OP4_SQL = f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '{MARKED}'), (-7, 1, 'assistant', '{MARKED}')
+), sized AS (
+    SELECT *, 17 + length(replace(replace({_ESCAPED.format('role')}, '\\', '\\b'), chr(10), '\\n'))
+        + length({_ESCAPED.format('text')}) AS chars
+    FROM rows
+), placed AS (
+    SELECT *, sum(chars) OVER w AS upto, lead(role) OVER w IS NULL AS last
+    FROM sized WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id,
+    count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(upto) FILTER (role = 'assistant' OR last) AS BIGINT) AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_chat": OP4_SQL}
