@@ -82,9 +82,9 @@ def format_chats(turns: DataFrame, target: str = "assistant") -> DataFrame:
 
 def read_turns(formatted: Column) -> Column:
     """The (role, text) turns of a formatted text."""
-    parts = F.slice(F.split(formatted, r"<\|turn\|>", -1), 2, 2_147_483_647)
+    parts = F.split(formatted, r"<\|turn\|>", -1)
     return F.transform(
-        parts,
+        F.filter(parts, lambda p, number: number > 0),
         lambda p: F.struct(
             _role_back(F.substring_index(p, "\n", 1)).alias("role"),
             unescape(
