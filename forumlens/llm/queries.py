@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forumlens.llm import chat, pii
+from forumlens.llm import chat, pii, warc
 from forumlens.llm.common import read
 from forumlens.llm.decontaminate import find_leaks
 from forumlens.llm.minhash import near_duplicates
@@ -43,6 +43,10 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).drop("class_id")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(pack(read(spark, sf_dir, "documents")))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_chat": op4_chat,
     "op6_minhash": op6_minhash,
+    "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
 }
@@ -79,4 +84,16 @@ SELECT conv_id,
 FROM placed GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_chat": OP4_SQL}
+OP8_SQL = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_chat": OP4_SQL, "op8_warc": OP8_SQL}
