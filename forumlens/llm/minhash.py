@@ -211,7 +211,7 @@ def near_duplicates(
     candidates = stars.select("a").union(stars.select("b")).distinct()
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sets = stage(
-        texts.join(candidates.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi")
+        texts.join(candidates.withColumnRenamed("a", "doc_id").hint("merge"), "doc_id", "left_semi")
         .mapInArrow(_sets, "rep long, shingles binary")
     )
     tested = (

@@ -12,6 +12,7 @@ from forumlens.llm.decontaminate import find_leaks
 from forumlens.llm.minhash import near_duplicates
 from forumlens.llm.packing import digests, pack
 from forumlens.llm.quality import judge, train
+from forumlens.llm.spans import remove_repeats
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +40,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_personal_data(docs, pii.train(docs)))
 
 
+def op5_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).drop("class_id")
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_decontaminate": op3_decontaminate,
     "op4_chat": op4_chat,
+    "op5_spans": op5_spans,
     "op6_minhash": op6_minhash,
     "op8_warc": op8_warc,
     "op9_packing": op9_packing,
