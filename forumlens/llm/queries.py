@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from forumlens.llm import chat, pii, warc
+from forumlens.llm import chat, licences, pii, urls, warc
 from forumlens.llm.common import read
 from forumlens.llm.decontaminate import find_leaks
 from forumlens.llm.minhash import near_duplicates
@@ -20,6 +21,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs, train(docs, read(spark, sf_dir, "labels")))
 
 
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of the document its url names: good if of quality and not toxic."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    labels = read(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("good"))
+    number = F.regexp_extract(urls.path_of(F.col("url")), r"/([0-9]{1,18})(?:[./]|$)", 1)
+    named = pages.select("page_id", number.try_cast("long").alias("doc_id"))
+    return urls.judge(pages, named.join(labels, "doc_id").select("page_id", "good"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -48,6 +58,13 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).drop("class_id")
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: the source and language are the directories."""
+    docs = read(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.concat(F.col("doc_id"), F.lit(".txt")))
+    return licences.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -58,10 +75,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_urls": op2_urls,
     "op3_decontaminate": op3_decontaminate,
     "op4_chat": op4_chat,
     "op5_spans": op5_spans,
     "op6_minhash": op6_minhash,
+    "op7_licences": op7_licences,
     "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
