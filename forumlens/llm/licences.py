@@ -126,7 +126,7 @@ def scan(files: DataFrame, notices: tuple = NOTICES, min_cosine: float = MIN_COS
             "path", "text_key", F.get(names, -F.col("b.order")).alias("own"), F.col("b.cosine").alias("cosine"), F.col("b.part").alias("part")
         )
     )
-    folder = F.regexp_replace("path", "/?[^/]*$", "")
+    folder = folder_of(F.col("path"))
     spoken = (
         own.where(F.col("path").isNotNull() & (F.col("part") >= FILE_SHARE))
         .groupBy(folder.alias("above"))
@@ -145,18 +145,14 @@ def scan(files: DataFrame, notices: tuple = NOTICES, min_cosine: float = MIN_COS
         .agg(F.max(F.struct(F.length("above").alias("depth"), "above", "theirs")).alias("n"))
     )
     same = F.col("f.path").eqNullSafe(F.col("o.path")) & F.col("f.text_key").eqNullSafe(F.col("o.text_key"))
-    return (
-        base.drop("text")
-        .withColumn("folder", folder)
-        .alias("f")
-        .join(own.alias("o"), same, "left")
-        .select(*[F.col(f"f.`{c}`") for c in (*carried, "path", "folder")], "o.own", "o.cosine")
-        .join(nearest, "folder", "left")
-        .select(
-            *[f"`{c}`" for c in carried],
-            "path",
-            F.coalesce("own", "n.theirs").alias("licence"),
-            "cosine",
-            F.when(F.col("own").isNull(), F.col("n.above")).alias("inherited_from"),
-        )
+    found = base.drop("text").alias("f").join(own.alias("o"), same, "left")
+    return found.join(nearest.alias("d"), folder_of(F.col("f.path")) == F.col("d.folder"), "left").select(
+        *[F.col(f"f.`{c}`") for c in (*carried, "path")],
+        F.coalesce("o.own", "d.n.theirs").alias("licence"),
+        "o.cosine",
+        F.when(F.col("o.own").isNull(), F.col("d.n.above")).alias("inherited_from"),
     )
+
+
+def folder_of(path: Column) -> Column:
+    return F.regexp_replace(path, "/?[^/]*$", "")
