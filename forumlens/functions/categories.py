@@ -83,7 +83,6 @@ def breadth_class(num_communities: Column) -> Column:
 
 def persona(cluster: Column, names: Mapping[int, str] | None = None) -> Column:
     """Persona label of a cluster id; `Cluster n` when the id has none."""
-    names = vocab.CLUSTER_PERSONAS if names is None else names
     fallback = F.concat(F.lit("Cluster "), cluster.cast("string"))
     if not names:
         return fallback

@@ -30,7 +30,9 @@ def tables(spark: SparkSession, source: str) -> dict[str, DataFrame]:
     pairs = overlap.overlap_pairs(tech)
     missing = quality.missingness(posts)
     return {
-        "dataset_summary": quality.dataset_summary(posts),
+        "dataset_summary": quality.with_size(
+            quality.dataset_summary(posts), {"comment": f"{source}/comments", "submission": f"{source}/submissions"}
+        ),
         "missingness": quality.missingness_pct(missing),
         "sentinel_rates": quality.sentinel_rates(posts),
         "duplicate_ids": quality.duplicate_ids(posts),

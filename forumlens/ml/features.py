@@ -121,13 +121,24 @@ def engagement_stages(vocab_size: int = 8000, min_df: float = 50) -> list:
     ]
 
 
-def embedding_stages(df: DataFrame, size: int = 100, min_count: int = 20, seed: int = 42) -> list:
+#: Partitions that Word2Vec trains on side by side; part of the model's definition, whatever the cluster.
+EMBEDDING_PARTITIONS = 8
+
+
+def dealt(df: DataFrame, partitions: int = EMBEDDING_PARTITIONS) -> DataFrame:
+    """Rows dealt to a fixed number of partitions by a hash of the id, in a fixed order."""
+    return df.repartition(partitions, "id").sortWithinPartitions("id", F.xxhash64(*df.columns))
+
+
+def embedding_stages(
+    size: int = 100, min_count: int = 20, seed: int = 42, partitions: int = EMBEDDING_PARTITIONS
+) -> list:
     """Mean word embedding, topics, one-hot time and surface features in one vector.
 
-    Word2Vec trains one model per partition and averages them; one partition, its default, would pull
-    the whole corpus through one task.
+    Word2Vec trains one model per partition and averages them, so their number belongs to the model: with it
+    fixed and the rows `dealt`, the embedding is the same on any cluster. More partitions let more tasks
+    train, each on fewer sentences.
     """
-    partitions = max(1, df.sparkSession.sparkContext.defaultParallelism)
     return [
         Word2Vec(
             inputCol="words_clean", outputCol="w2v_features", vectorSize=size, minCount=min_count, maxIter=5,

@@ -12,7 +12,6 @@ from forumlens.functions.time import SECONDS_PER_YEAR
 from forumlens.operators.histogram import histogram
 
 POST_COLUMNS = ["subreddit", "author", "title", "body", "score", "created_utc"]
-MAX_BROADCAST_ROWS = 100_000
 
 
 def _by_score() -> list[Column]:
@@ -98,15 +97,12 @@ def top_authors_by_community(
 ) -> DataFrame:
     """Authors at or above the quantile of their community, ties included.
 
-    The join key is the community, and one community may hold most authors. With a list of communities
-    the thresholds have at most that many rows and are broadcast, so no row moves; without one the
-    planner sizes them at run time.
+    The join key is the community, and one community may hold most authors; the thresholds have a row for
+    each community, and the planner sizes them at run time.
     """
     if communities is not None:
         stats = stats.where(F.col("subreddit").isin(*communities))
     thresholds = community_thresholds(stats, quantile, value)
-    if communities is not None and len(communities) <= MAX_BROADCAST_ROWS:
-        thresholds = F.broadcast(thresholds)
     return stats.join(thresholds, "subreddit").where(F.col(value) >= F.col("p99_posts"))
 
 
@@ -115,20 +111,32 @@ def posts_of(posts: DataFrame, authors: DataFrame, keys: Sequence[str] = ("autho
     return posts.join(authors.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def top_posts(posts: DataFrame, n: int = 5, by: str = "subreddit") -> DataFrame:
-    """The `n` highest-scored posts per community.
+def _winners(posts: DataFrame, by: Sequence[str], n: int, rank: str) -> DataFrame:
+    """The `n` first posts by score in each group, with all their columns.
 
-    The rank filter sits directly on the window, so each map task keeps `n` rows per community before
-    the shuffle and a dominant community sends no more than that.
+    Only narrow columns are ranked: each map task keeps `n` rows of a group before the shuffle, and no text
+    is sorted or sent. The winners' texts come back by group and a hash of the whole row. Rows equal in every
+    column keep a rank each.
     """
-    window = Window.partitionBy(by).orderBy(*_by_score())
-    return posts.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= n)
+    keyed = posts.withColumn("_row", F.xxhash64(*posts.columns))
+    narrow = keyed.select(*dict.fromkeys([*by, "score", "created_utc", "id", "data_type", "_row"]))
+    window = Window.partitionBy(*by).orderBy(*_by_score(), "_row")
+    won = narrow.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n).select(*by, "_row", rank)
+    same = F.col("p._row") == F.col("w._row")
+    for column in by:
+        same = same & F.col(f"p.{column}").eqNullSafe(F.col(f"w.{column}"))
+    found = keyed.alias("p").join(won.alias("w"), same).select(*[f"p.`{c}`" for c in posts.columns], f"w.{rank}")
+    return found.dropDuplicates([*by, rank])
+
+
+def top_posts(posts: DataFrame, n: int = 5, by: str = "subreddit") -> DataFrame:
+    """The `n` highest-scored posts per community."""
+    return _winners(posts, [by], n, "rank")
 
 
 def best_posts(posts: DataFrame, by: Sequence[str] = ("author",)) -> DataFrame:
     """The highest-scored post per author, or per (community, author)."""
-    window = Window.partitionBy(*by).orderBy(*_by_score())
-    return posts.withColumn("rn", F.row_number().over(window)).where(F.col("rn") == 1).drop("rn")
+    return _winners(posts, list(by), 1, "_rank").drop("_rank")
 
 
 def top_author_profile(posts: DataFrame, quantile: float = 0.99) -> DataFrame:

@@ -127,7 +127,7 @@ def event_days(daily: DataFrame, events: Sequence[tuple[str, str]] = tuple(vocab
     """Daily rows tagged with the release and the window they fall into.
 
     The windows are spread out to one row per release and day (84 rows per release, a bound set by the
-    caller's list), so the match is a broadcast equality join on the day rather than a range join.
+    caller's list), so the match is an equality join on the day rather than a range join.
     """
     spark = daily.sparkSession
     windows = F.array(
@@ -142,7 +142,7 @@ def event_days(daily: DataFrame, events: Sequence[tuple[str, str]] = tuple(vocab
         .select("event", "event_date", "w.phase", F.explode(F.sequence("w.first", "w.last")).alias("offset"))
         .withColumn("day", F.date_add("event_date", F.col("offset")))
     )
-    return daily.join(F.broadcast(calendar), "day")
+    return daily.join(calendar, "day")
 
 
 def event_study(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import vocab
 from forumlens.functions.scores import pct
+from forumlens.session import path_bytes
 
 
 def dataset_summary(posts: DataFrame) -> DataFrame:
@@ -20,15 +21,11 @@ def dataset_summary(posts: DataFrame) -> DataFrame:
     )
 
 
-def table_bytes(df: DataFrame) -> int:
-    """Size on storage of the files behind a scan, from the file listing."""
-    hadoop = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    jvm = df.sparkSession.sparkContext._jvm
-    total = 0
-    for name in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        total += path.getFileSystem(hadoop).getFileStatus(path).getLen()
-    return total
+def with_size(summary: DataFrame, folders: Mapping[str, str]) -> DataFrame:
+    """Adds `size_gb` to `dataset_summary`: what is stored in the folder of each record kind, rounded to 2."""
+    sizes = [(kind, path_bytes(summary.sparkSession, path) / 1024**3) for kind, path in folders.items()]
+    table = summary.sparkSession.createDataFrame(sizes, "data_type string, size_gb double")
+    return summary.join(table.withColumn("size_gb", F.round("size_gb", 2)), "data_type", "left")
 
 
 def missingness(posts: DataFrame, columns: Sequence[str] | None = None, by: str = "subreddit") -> DataFrame:

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumlens import schemas
+from forumlens import schemas, vocab
 from forumlens.functions import text as tx
 
 KEPT = {
@@ -29,7 +28,7 @@ def default_stop_words(extra: Sequence[str] = (), split_stems: bool = True) -> l
     With `split_stems`, the parts of every contraction are listed too: a split on non-word characters
     turns `doesn't` into `doesn` and `t`, which the plain list does not hold.
     """
-    words = set(StopWordsRemover.loadDefaultStopWords("english"))
+    words = set(vocab.ENGLISH_STOP_WORDS)
     if split_stems:
         words |= {part for w in words if "'" in w for part in w.split("'") if part}
     return sorted(words | set(extra))
@@ -82,18 +81,25 @@ def lemmatise(df: DataFrame, lemmas: dict[str, str], column: str = "tokens") ->
     return df.withColumn(column, F.transform(column, lambda t: F.coalesce(F.try_element_at(table, t), t)))
 
 
-def lemmatise_by_join(df: DataFrame, lemmas: DataFrame, key: str = "id", column: str = "tokens") -> DataFrame:
-    """`(key, tokens)` with tokens replaced through a `(form, lemma)` table.
+def lemmatise_by_join(df: DataFrame, lemmas: DataFrame, column: str = "tokens") -> DataFrame:
+    """Every row with its tokens replaced through a `(form, lemma)` table; of a form listed twice the first lemma by name holds.
 
-    Only distinct words meet the table; the word map returns to the tokens by an equality join whose
-    hot words are spread by AQE, and positions restore the order.
+    The vocabulary, not the text, meets the table: only forms that occur and have a lemma go on. A row's own
+    distinct words meet those, and its word map returns by a hash of its tokens, so rows need no key, equal
+    rows share one map and posts without tokens stay.
     """
-    tokens = df.select(key, F.posexplode(column).alias("pos", "form"))
-    joined = tokens.join(lemmas.dropDuplicates(["form"]), "form", "left")
-    word = F.coalesce("lemma", "form").alias("w")
-    return joined.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", word))), lambda s: s["w"]).alias(column)
+    key = [F.xxhash64(column).alias("_a"), F.xxhash64(F.lit(1), F.col(column)).alias("_b")]
+    words = df.select(*key, F.explode(F.array_distinct(column)).alias("form"))
+    known = lemmas.groupBy("form").agg(F.min("lemma").alias("lemma"))
+    known = known.join(words.select("form").distinct(), "form", "left_semi")
+    maps = (
+        words.join(known, "form")
+        .groupBy("_a", "_b")
+        .agg(F.map_from_entries(F.collect_set(F.struct("form", "lemma"))).alias("_lemmas"))
     )
+    replaced = F.transform(column, lambda t: F.coalesce(F.try_element_at("_lemmas", t), t))
+    joined = df.select("*", *key).join(maps, ["_a", "_b"], "left")
+    return joined.withColumn(column, F.coalesce(replaced, F.col(column))).select(*df.columns)
 
 
 def with_tokens(df: DataFrame, column: str = "cleaned", stop_words: Sequence[str] = ()) -> DataFrame:
@@ -151,7 +157,7 @@ def term_statistics(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     docs = df.agg(F.count(F.lit(1))).scalar()
     new = lambda t, i: F.coalesce(F.get("_sorted", i - 1) != t, F.lit(True))
     return (
-        df.select(F.array_sort(tokens).alias("_sorted"))
+        df.select(F.sort_array(tokens).alias("_sorted"))
         .select(
             F.explode(
                 F.transform("_sorted", lambda t, i: F.struct(t.alias("term"), new(t, i).cast("int").alias("first")))

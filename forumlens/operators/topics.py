@@ -11,6 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.operators.text import term_statistics
+
 
 @dataclass(frozen=True)
 class TopicModel:
@@ -109,6 +111,46 @@ def community_matrix(counts: DataFrame, k: int) -> DataFrame:
     return wide.select("subreddit", *[F.col(f"`{i}`").alias(f"T{i}") for i in range(k)])
 
 
-def attach_topics(posts: DataFrame, document_topics: DataFrame, key: str = "id") -> DataFrame:
-    """Posts with the topic weights stored for their id."""
-    return posts.join(document_topics.select(key, "topicDistribution"), key)
+POST_KEY = ["id", "post_key"]
+
+
+def with_post_key(posts: DataFrame) -> DataFrame:
+    """`post_key`, a hash of all that tells posts apart. Ids repeat in the archive, with other texts too."""
+    return posts.withColumn("post_key", F.xxhash64("id", "subreddit", "author", "created_utc", "body"))
+
+
+def attach_topics(posts: DataFrame, document_topics: DataFrame) -> DataFrame:
+    """Posts with the topic weights of their own text, one row each.
+
+    Posts that share id and key are copies with equal weights, so one of them is enough on the right side.
+    """
+    weights = document_topics.select(*POST_KEY, "topicDistribution").dropDuplicates(POST_KEY)
+    return with_post_key(posts).join(weights, POST_KEY).drop("post_key")
+
+
+def vocabulary(df: DataFrame, tokens: str, vocab_size: int, min_df: float) -> DataFrame:
+    """Every term with its counts, and whether a vocabulary of these limits keeps it.
+
+    The rule of the vectoriser: terms in `min_df` documents or more, the most frequent first. Equal counts at
+    the limit go by name here; the vectoriser leaves their order open.
+    """
+    terms = term_statistics(df, tokens)
+    fits = terms.where(F.col("doc_count") >= min_df).orderBy(F.desc("total_count"), "term").limit(vocab_size)
+    return terms.join(fits.select("term", F.lit(True).alias("kept")), "term", "left").fillna(False, ["kept"])
+
+
+def vocabulary_coverage(df: DataFrame, tokens: str, vocabulary_terms: Sequence[str]) -> DataFrame:
+    """Terms and tokens in the documents, and how many of them a fitted vocabulary keeps."""
+    kept = df.sparkSession.createDataFrame([(t, True) for t in vocabulary_terms], "term string, kept boolean")
+    return coverage(term_statistics(df, tokens).join(kept, "term", "left"))
+
+
+def coverage(terms: DataFrame) -> DataFrame:
+    """Terms and tokens seen and kept, and the share of tokens kept."""
+    kept = F.coalesce("kept", F.lit(False))
+    return terms.agg(
+        F.count(F.lit(1)).alias("terms_seen"),
+        F.count_if(kept).alias("terms_kept"),
+        F.coalesce(F.sum("total_count"), F.lit(0)).alias("tokens_seen"),
+        F.coalesce(F.sum(F.when(kept, F.col("total_count"))), F.lit(0)).alias("tokens_kept"),
+    ).withColumn("share_kept", F.try_divide("tokens_kept", "tokens_seen"))

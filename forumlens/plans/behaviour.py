@@ -304,6 +304,7 @@ def event_study(spark: SparkSession, sf: str) -> DataFrame:
 # --- authors ---------------------------------------------------------------------------------
 
 TECH_META = f"{{meta}}, tech AS (SELECT * FROM meta WHERE subreddit IN ({_names(TECH)}))"
+TECH_POSTS = f"{{posts}}, tech AS (SELECT * FROM posts WHERE subreddit IN ({_names(TECH)}))"
 AUTHOR_SQL = """a AS (SELECT author, count(*) AS total_posts, count(DISTINCT subreddit) AS num_subreddits,
       avg(score) AS avg_score, max(score) AS max_score, min(created_utc) AS first_post, max(created_utc) AS last_post,
       count(*) FILTER (data_type = 'comment') AS num_comments, count(*) FILTER (data_type = 'submission') AS num_submissions,
@@ -386,20 +387,18 @@ def top_author_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "top_authors_by_community",
-    f"""WITH {TECH_META}, {PAIR_SQL}, p AS (SELECT subreddit, quantile_disc(total_posts, 0.99) AS p99_posts FROM sa GROUP BY subreddit),
+    f"""WITH {TECH_POSTS}, {PAIR_SQL}, p AS (SELECT subreddit, quantile_disc(total_posts, 0.99) AS p99_posts FROM sa GROUP BY subreddit),
     best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subreddit, author {BEST}) AS rn FROM tech) WHERE rn = 1)
     SELECT sa.subreddit, sa.author, total_posts, round(avg_score, 6) AS avg_score, max_score, sa.num_comments, num_submissions, p99_posts,
-      best.score AS best_score, best.created_utc AS best_created_utc
+      best.title AS best_title, md5(best.body) AS best_body_digest, best.score AS best_score, best.created_utc AS best_created_utc
     FROM sa JOIN p USING (subreddit) JOIN best ON best.subreddit = sa.subreddit AND best.author = sa.author
     WHERE total_posts >= p99_posts""",
 )
 def top_authors_by_community(spark: SparkSession, sf: str) -> DataFrame:
-    profile = authors.top_author_profile_by_community(
-        _tech_meta(spark, sf).withColumns({"title": F.lit(None), "body": F.lit(None)}), communities=TECH
-    )
+    profile = authors.top_author_profile_by_community(_tech(st.posts(spark, sf)), communities=TECH)
     return profile.select(
         "subreddit", "author", "total_posts", "avg_score", "max_score", "num_comments", "num_submissions", "p99_posts",
-        "best_score", "best_created_utc",
+        "best_title", F.md5("best_body").alias("best_body_digest"), "best_score", "best_created_utc",
     )
 
 
@@ -450,31 +449,33 @@ def top_posts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-TOP_AUTHOR_POSTS_SQL = f"""{TECH_META}, {AUTHOR_SQL}, q AS (
+TOP_AUTHOR_POSTS_SQL = f"""{TECH_POSTS}, {AUTHOR_SQL}, q AS (
       SELECT *, row_number() OVER (PARTITION BY subreddit {BEST}) AS rank FROM tech
       WHERE author IN (SELECT author FROM a WHERE total_posts >= (SELECT quantile_disc(total_posts, 0.99) FROM a)))"""
 
 
 def _top_author_posts(spark: SparkSession, sf: str) -> DataFrame:
-    tech = _tech_meta(spark, sf)
+    tech = _tech(st.posts(spark, sf))
     return authors.top_posts(authors.posts_of(tech, authors.top_authors(authors.author_stats(tech))))
 
 
 @query(
     "top_author_posts",
-    f"WITH {TOP_AUTHOR_POSTS_SQL} SELECT subreddit, author, id, score, created_utc, rank FROM q WHERE rank <= 5",
+    f"WITH {TOP_AUTHOR_POSTS_SQL} SELECT subreddit, author, id, title, md5(body) AS body_digest, score, created_utc, rank FROM q WHERE rank <= 5",
 )
 def top_author_posts(spark: SparkSession, sf: str) -> DataFrame:
-    return _top_author_posts(spark, sf).select("subreddit", "author", "id", "score", "created_utc", "rank")
+    return _top_author_posts(spark, sf).select(
+        "subreddit", "author", "id", "title", F.md5("body").alias("body_digest"), "score", "created_utc", "rank"
+    )
 
 
 @query(
     "top_example_posts",
-    f"""WITH {TOP_AUTHOR_POSTS_SQL} SELECT subreddit, author, id, score, created_utc FROM q WHERE rank <= 5
+    f"""WITH {TOP_AUTHOR_POSTS_SQL} SELECT subreddit, author, id, title, md5(body) AS body_digest, score, created_utc FROM q WHERE rank <= 5
     ORDER BY score DESC, created_utc, id LIMIT 30""",
 )
 def top_example_posts(spark: SparkSession, sf: str) -> DataFrame:
-    columns = ["subreddit", "author", "id", "score", "created_utc"]
+    columns = ["subreddit", "author", "id", "title", F.md5("body").alias("body_digest"), "score", "created_utc"]
     return _top_author_posts(spark, sf).select(*columns).orderBy(F.desc("score"), "created_utc", "id").limit(30)
 
 
@@ -492,13 +493,13 @@ def best_post_per_author(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "best_post_per_author_community",
-    f"""WITH {{meta}}
-    SELECT subreddit, author, id, score, created_utc FROM (
-      SELECT *, row_number() OVER (PARTITION BY subreddit, author {BEST}) AS rn FROM meta) WHERE rn = 1""",
+    f"""WITH {{posts}}
+    SELECT subreddit, author, id, title, md5(body) AS body_digest, score, created_utc FROM (
+      SELECT *, row_number() OVER (PARTITION BY subreddit, author {BEST}) AS rn FROM posts) WHERE rn = 1""",
 )
 def best_post_per_author_community(spark: SparkSession, sf: str) -> DataFrame:
-    return authors.best_posts(st.posts_meta(spark, sf), ["subreddit", "author"]).select(
-        "subreddit", "author", "id", "score", "created_utc"
+    return authors.best_posts(st.posts(spark, sf), ["subreddit", "author"]).select(
+        "subreddit", "author", "id", "title", F.md5("body").alias("body_digest"), "score", "created_utc"
     )
 
 

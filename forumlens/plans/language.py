@@ -19,6 +19,7 @@ NEGATIVE = ["and", "angry", "bad", "hate", "of", "sad", "scared", "terrible", "w
 PROFANE = ["angry", "bad", "hate", "rant", "risk", "terrible", "the", "wrong"]
 STOP = [*vocab.MODEL_STOP_WORDS, "the", "of", "and", "is", "on", "der", "die", "le", "la", "el"]
 LEMMAS = {"compared": "compare", "docs": "doc", "excited": "excite", "faster": "fast", "better": "good", "was": "be"}
+TOPIC_STOP = tx.default_stop_words(vocab.TOPIC_STOP_WORDS)
 SURVEY = [
     ("Less time spent searching for information", 40.0),
     ("Faster coding and development", 55.0),
@@ -137,7 +138,7 @@ REGEX_SQL = _split("text", r"\W+")
 STOPPED_SQL = f"list_filter({REGEX_SQL}, lambda x: x NOT IN ({_names(sorted(set(STOP)))}))"
 TOPIC_SQL = (
     f"list_filter({REGEX_SQL}, lambda x: regexp_full_match(x, '[a-z]{{3,}}') AND NOT starts_with(x, 'http') "
-    f"AND NOT starts_with(x, 'www') AND x NOT IN ({_names(sorted(set(vocab.TOPIC_STOP_WORDS)))}))"
+    f"AND NOT starts_with(x, 'www') AND x NOT IN ({_names(TOPIC_STOP)}))"
 )
 
 
@@ -166,7 +167,7 @@ def tokens_no_stop(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("tokens_filtered", _tokens_sql(TOPIC_SQL, " WHERE len(k) > 0"))
 def tokens_filtered(spark: SparkSession, sf: str) -> DataFrame:
-    df = tx.topic_documents(_posts(spark, sf), vocab.TOPIC_STOP_WORDS, "text", 0)
+    df = tx.topic_documents(_posts(spark, sf), TOPIC_STOP, "text", 0)
     return _tokens(df, F.col("tokens_final"))
 
 
@@ -179,6 +180,13 @@ def tokens_lemma(spark: SparkSession, sf: str) -> DataFrame:
     return _tokens(tx.lemmatise(df, LEMMAS), F.col("tokens"))
 
 
+@query("tokens_lemma_joined", _tokens_sql(f"list_transform({REGEX_SQL}, lambda x: {LEMMA_SQL})"))
+def tokens_lemma_joined(spark: SparkSession, sf: str) -> DataFrame:
+    df = _posts(spark, sf).withColumn("tokens", text.tokens_regex(F.col("text")))
+    table = spark.createDataFrame(list(LEMMAS.items()), "form string, lemma string")
+    return _tokens(tx.lemmatise_by_join(df, table), F.col("tokens"))
+
+
 PREPARED_SQL = f"""{TEXT_SQL}, c AS (SELECT *, {_clean_full("text")} AS cleaned FROM t),
     k AS (SELECT *, {NORMAL_SQL.format("cleaned")} AS tokens FROM c WHERE length(cleaned) > 10)"""
 

@@ -16,18 +16,24 @@ from forumlens.operators import text as tx
 from forumlens.operators import topics as tp
 from forumlens.plans.registry import query
 from forumlens.plans.tables import FOUR_SQL
-from forumlens.session import stage
+from forumlens.session import stage, table_state
 from forumlens.sources import readers, sample_tables as st
 
-_FITS: dict[tuple, object] = {}
+_FITS: dict[tuple, dict[str, object]] = {}
 
 
 def _once(spark: SparkSession, sf: str, name: str, fit: Callable):
-    """A fitted model is shared by the queries of one session that report on it."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    """A fitted model is shared by the queries of one session that report on it.
+
+    Fits are kept for one state of one set of tables: other or rewritten tables replace them.
+    """
+    key = (spark.sparkContext.applicationId, sf, *[table_state(spark, f"{sf}/{t}.parquet") for t in ("events", "documents", "pages")])
     if key not in _FITS:
-        _FITS[key] = fit()
-    return _FITS[key]
+        _FITS.clear()
+        _FITS[key] = {}
+    if name not in _FITS[key]:
+        _FITS[key][name] = fit()
+    return _FITS[key][name]
 
 
 # --- class balance ---------------------------------------------------------------------------
@@ -82,13 +88,15 @@ def _topic_documents(spark: SparkSession, sf: str) -> DataFrame:
     return tx.topic_documents(comments.select("id", "subreddit", "author", "created_utc", "score", "body"), _stop_words())
 
 
-def _topics(spark: SparkSession, sf: str) -> tuple[tp.TopicModel, DataFrame]:
-    """Model and staged `(id, subreddit, author, topicDistribution)`."""
+def _topics(spark: SparkSession, sf: str) -> tuple[tp.TopicModel, DataFrame, DataFrame]:
+    """Model, staged topic weights per document, and what its vocabulary keeps of the texts."""
 
     def fit():
-        documents = stage(_topic_documents(spark, sf).select("id", "subreddit", "author", "tokens_final"))
+        kept = [*tp.POST_KEY, "subreddit", "author"]
+        documents = stage(tp.with_post_key(_topic_documents(spark, sf)).select(*kept, "tokens_final"))
         model = tp.fit_topics(documents, min_df=50)
-        return model, stage(model.transform(documents).select("id", "subreddit", "author", "topicDistribution"))
+        seen = stage(tp.vocabulary_coverage(documents, "tokens_final", model.vectorizer.vocabulary))
+        return model, stage(model.transform(documents).select(*kept, "topicDistribution")), seen
 
     return _once(spark, sf, "topics", fit)
 
@@ -106,7 +114,7 @@ def topic_term_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("topic_counts")
 def topic_counts(spark: SparkSession, sf: str) -> DataFrame:
-    model, documents = _topics(spark, sf)
+    model, documents, _ = _topics(spark, sf)
     return tp.labelled_counts(tp.topic_terms(model), tp.topic_counts(tp.with_dominant_topic(documents)))
 
 
@@ -117,18 +125,24 @@ def topic_by_community(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("topic_community_matrix")
 def topic_community_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    model, documents = _topics(spark, sf)
+    model, documents, _ = _topics(spark, sf)
     return tp.community_matrix(tp.topic_counts(tp.with_dominant_topic(documents), ["subreddit"]), model.k)
 
 
+@query("topics_vocabulary")
+def topics_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """Terms and tokens that the topic vocabulary keeps of all there are."""
+    return _topics(spark, sf)[2]
+
+
 @query("topics_small")
 def topics_small(spark: SparkSession, sf: str) -> DataFrame:
-    """Five topics over a tenth of the posts, capped at 20,000 documents."""
-    posts = readers.sample_posts(tx.with_text(st.posts(spark, sf)).select("id", "event_id", "text"), 0.1)
+    """Five topics over all posts, with a small vocabulary."""
+    posts = tx.with_text(st.posts(spark, sf)).select("id", "event_id", "text")
     posts = tx.with_kept(posts, "processed_text", text.clean_letters(F.col("text")), lambda c: F.length(c) > 3)
     stops = tx.default_stop_words(vocab.SMALL_TOPIC_STOP_WORDS)
     tokens = text.without_stop_words(text.tokens_space(F.col("processed_text")), stops)
-    documents = readers.cap_documents(posts.select("id", "event_id", tokens.alias("tokens")), 20_000)
+    documents = stage(posts.select(tokens.alias("tokens")))
     model = tp.fit_topics(documents, "tokens", k=5, vocab_size=2000, min_df=5, max_df=0.4)
     terms = tp.topic_terms(model, 10)
     return terms.select("topic", F.array_join("terms_words", ", ").alias("terms"))
@@ -137,25 +151,26 @@ def topics_small(spark: SparkSession, sf: str) -> DataFrame:
 # --- users -----------------------------------------------------------------------------------
 
 
-def _user_topics(spark: SparkSession, sf: str) -> tuple[int, DataFrame]:
+def _user_topics(spark: SparkSession, sf: str) -> tuple[tp.TopicModel, DataFrame]:
     def fit():
         prepared = tx.with_tokens(tx.cleaned(tx.with_text(st.comments(spark, sf))), "cleaned", tx.default_stop_words())
         documents = stage(prepared.where(F.col("author").isNotNull()).select("author", "subreddit", "tokens"))
         model = tp.fit_topics(documents, "tokens", k=15, vocab_size=50_000, min_df=5)
-        return model.k, stage(segment.user_topics(model.transform(documents)))
+        return model, stage(segment.user_topics(model.transform(documents)))
 
     return _once(spark, sf, "users", fit)
 
 
 def _clustered(spark: SparkSession, sf: str) -> DataFrame:
-    users = _user_topics(spark, sf)[1]
-    return segment.with_clusters(users, _once(spark, sf, "clusters", lambda: segment.fit_clusters(users)))
+    topics, users = _user_topics(spark, sf)
+    model = _once(spark, sf, "clusters", lambda: segment.fit_clusters(users))
+    return segment.with_clusters(users, model, segment.cluster_names(model, tp.topic_terms(topics)))
 
 
 @query("user_topics")
 def user_topics(spark: SparkSession, sf: str) -> DataFrame:
-    k, users = _user_topics(spark, sf)
-    return segment.wide_topics(users, k)
+    model, users = _user_topics(spark, sf)
+    return segment.wide_topics(users, model.k)
 
 
 @query("user_clusters")

@@ -13,7 +13,7 @@ from forumlens.sources import ingest, readers, sample_tables as st
 
 
 def _names(values) -> str:
-    return ", ".join(f"'{v}'" for v in values)
+    return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
 
 
 # --- sources ---------------------------------------------------------------------------------

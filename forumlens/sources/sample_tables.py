@@ -39,7 +39,14 @@ def _sql_case(key: str, values: dict[int, str], default: str) -> str:
     return f"CASE {key} {whens} ELSE '{default}' END"
 
 
-IS_SUBMISSION = "event_type IN ('signup', 'purchase')"
+# One community has comments only.
+IS_SUBMISSION = "(event_type IN ('signup', 'purchase') AND event_id % 31 <> 30)"
+# A third of the users post under a name per community, a third under a name per three neighbouring ones, and a
+# third under two names, so that no author spans all communities and some pairs share nobody.
+ALIAS = "CASE user_id % 3 WHEN 0 THEN event_id % 31 WHEN 1 THEN 100 + (event_id % 31) DIV 3 ELSE 200 + (event_id % 31) DIV 24 END"
+ALIAS_SQL = ALIAS.replace(" DIV ", " // ")
+# Ids repeat between neighbouring events, which differ in community, and between events of one community.
+SAME_ID = "CASE WHEN event_id % 101 = 1 THEN event_id - 1 WHEN event_id % 103 = 50 THEN event_id - 31 ELSE event_id END"
 COMMUNITY = _sql_case("event_id % 31", {17 + i: n for i, n in enumerate(COMMUNITIES)}, "AskReddit")
 PHRASE = _sql_case("event_id % 12", {i: f" {p}" for i, p in enumerate(PHRASES)}, "")
 TITLE_START = "CASE event_id % 5 WHEN 0 THEN 'How ' WHEN 1 THEN 'Why ' ELSE '' END"
@@ -56,9 +63,9 @@ def posts_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "event_id",
         f"CASE WHEN {IS_SUBMISSION} THEN 'submission' ELSE 'comment' END AS data_type",
-        "'p' || CASE WHEN event_id % 101 = 1 THEN event_id - 1 ELSE event_id END AS id",
+        f"'p' || {SAME_ID} AS id",
         f"{COMMUNITY} AS subreddit",
-        "CASE WHEN event_id % 29 = 0 THEN '[deleted]' ELSE 'user_' || user_id END AS author",
+        f"CASE WHEN event_id % 29 = 0 THEN '[deleted]' ELSE 'user_' || user_id || '_' || {ALIAS} END AS author",
         f"unix_seconds(CAST(ts AS TIMESTAMP)) + {MONTH_SECONDS} * (event_id % 14 - 7) AS created_utc",
         "CAST(floor(value) - 5 AS BIGINT) AS score",
         f"CASE WHEN NOT {IS_SUBMISSION} THEN 't3_p' || (event_id - event_id % 10) END AS link_id",
@@ -137,9 +144,9 @@ meta AS (
   FROM (
     SELECT event_id,
       CASE WHEN {IS_SUBMISSION} THEN 'submission' ELSE 'comment' END AS data_type,
-      'p' || CAST(CASE WHEN event_id % 101 = 1 THEN event_id - 1 ELSE event_id END AS VARCHAR) AS id,
+      'p' || CAST({SAME_ID} AS VARCHAR) AS id,
       {COMMUNITY} AS subreddit,
-      CASE WHEN event_id % 29 = 0 THEN '[deleted]' ELSE 'user_' || CAST(user_id AS VARCHAR) END AS author,
+      CASE WHEN event_id % 29 = 0 THEN '[deleted]' ELSE 'user_' || CAST(user_id AS VARCHAR) || '_' || CAST({ALIAS_SQL} AS VARCHAR) END AS author,
       CAST(floor(epoch(ts)) AS BIGINT) + {MONTH_SECONDS} * (event_id % 14 - 7) AS created_utc,
       CAST(floor(value) AS BIGINT) - 5 AS score,
       CASE WHEN NOT {IS_SUBMISSION} THEN 't3_p' || CAST(event_id - event_id % 10 AS VARCHAR) END AS link_id,

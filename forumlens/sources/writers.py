@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forumlens.session import stage
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode("overwrite")
@@ -35,19 +37,21 @@ def vectors_to_text(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def single_file(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """`df` in one partition, for small result tables only; a larger table is refused."""
-    if df.limit(max_rows + 1).count() > max_rows:
+def _single(df: DataFrame, path: str, max_rows: int, write: Callable[[DataFrame, str], None]) -> None:
+    """Write a small result as one file. The table is staged once and counted from the file footers, so a
+    table that is too large is refused before anything is written and its input runs once."""
+    rows = stage(df)
+    if rows.count() > max_rows:
         raise ValueError(f"result exceeds {max_rows} rows; write it as a directory of files")
-    return df.coalesce(1)
+    write(rows.coalesce(1), path)
 
 
 def write_single_csv(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    write_csv(single_file(df, max_rows), path)
+    _single(df, path, max_rows, write_csv)
 
 
 def write_single_parquet(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    write_parquet(single_file(df, max_rows), path)
+    _single(df, path, max_rows, write_parquet)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

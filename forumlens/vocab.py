@@ -174,36 +174,56 @@ SURVEY_TO_BENEFIT = {
     "Better quality of code and development solutions": "Better code quality",
 }
 
+# --- fixed values: the English stop words that Spark MLlib ships ------------------------------
+ENGLISH_STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself",
+    "yourselves", "he", "him", "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they",
+    "them", "their", "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "these", "those",
+    "am", "is", "are", "was", "were", "be", "been", "being", "have", "has", "had", "having", "do", "does",
+    "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at",
+    "by", "for", "with", "about", "against", "between", "into", "through", "during", "before", "after", "above",
+    "below", "to", "from", "up", "down", "in", "out", "on", "off", "over", "under", "again", "further", "then",
+    "once", "here", "there", "when", "where", "why", "how", "all", "any", "both", "each", "few", "more", "most",
+    "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so", "than", "too", "very", "s", "t",
+    "can", "will", "just", "don", "should", "now", "i'll", "you'll", "he'll", "she'll", "we'll", "they'll",
+    "i'd", "you'd", "he'd", "she'd", "we'd", "they'd", "i'm", "you're", "he's", "she's", "it's", "we're",
+    "they're", "i've", "we've", "you've", "they've", "isn't", "aren't", "wasn't", "weren't", "haven't",
+    "hasn't", "hadn't", "don't", "doesn't", "didn't", "won't", "wouldn't", "shan't", "shouldn't", "mustn't",
+    "can't", "couldn't", "cannot", "could", "here's", "how's", "let's", "ought", "that's", "there's", "what's",
+    "when's", "where's", "who's", "why's", "would",
+]
+
 # --- fixed values: stop words added to Spark's English list ----------------------------------
-# Only words that can reach the filter are listed: tokens come from a split on non-word
-# characters, and the topic tokens are at least three letters long.
 TOPIC_STOP_WORDS = [
-    # conversational
-    "people", "person", "someone", "everyone", "anyone", "noone", "thing", "things", "stuff",
+    "people", "person", "someone", "everyone", "anyone", "thing", "things", "stuff",
     "like", "get", "got", "give", "take", "make", "made", "put", "keep", "let",
     "know", "think", "feel", "look", "see", "say", "said", "tell", "told",
-    "went", "come", "came", "back", "away", "around", "really", "actually",
-    "even", "still", "always", "never", "ever", "maybe", "probably", "kinda", "sort", "sorta",
-    "also", "lot", "lots", "many", "much", "less", "guess", "literally",
-    # time
+    "go", "went", "come", "came", "back", "away", "around", "really", "actually",
+    "even", "still", "always", "never", "ever", "maybe", "probably", "kinda", "sort",
+    "just", "also", "very", "so", "too", "lot", "lots", "many", "much", "more", "less",
     "time", "day", "year", "years", "week", "weeks", "month", "months", "hour", "hours",
-    "today", "yesterday", "tomorrow", "ago", "long", "later", "early", "late",
-    # pronouns and auxiliaries
-    "ive", "youre", "youve", "youd", "weve", "theyre", "mine", "one", "ones",
-    "dont", "didnt", "doesnt", "cant", "couldnt", "wouldnt", "wont", "isnt", "arent", "wasnt",
-    "could", "would", "must", "might", "may", "shall",
-    # interjections
-    "yeah", "yes", "well", "okay", "hmm", "uhh", "uhm", "huh", "lol", "lmao", "haha", "ahah", "wow", "nah",
-    # platform words
-    "askreddit", "reddit", "subreddit", "thread", "threads", "comment", "comments",
+    "today", "yesterday", "tomorrow", "now", "ago", "long", "later", "early", "late",
+    "i", "im", "i'm", "ive", "i've", "id", "i'd",
+    "you", "youre", "you're", "youve", "you've", "youd", "you'd",
+    "we", "weve", "we've", "they", "theyre", "they're", "them", "their", "theirs",
+    "he", "him", "his", "she", "her", "hers", "it", "its", "it’s",
+    "my", "mine", "your", "yours", "our", "ours", "us", "u",
+    "one", "ones", "someone", "anyone", "everyone", "noone",
+    "re", "ve", "ll", "m", "d", "s",
+    "dont", "don't", "didnt", "didn't", "doesnt", "doesn't",
+    "cant", "can't", "couldnt", "couldn't", "wouldnt", "wouldn't",
+    "wont", "won't", "isnt", "isn't", "arent", "aren't", "wasnt", "wasn't",
+    "should", "could", "would", "must", "might", "may", "shall",
+    "yeah", "yes", "no", "oh", "well", "ok", "okay", "hmm", "uh", "uhh", "uhm", "huh",
+    "lol", "lmao", "haha", "ahah", "wow", "nah", "guess", "kinda", "sorta",
+    "r", "askreddit", "reddit", "subreddit", "thread", "threads", "comment", "comments",
     "post", "posts", "posting", "message", "messages", "inbox",
     "rule", "rules", "wiki", "index", "contact", "automatically", "action", "mod", "mods",
-    # links and formats
-    "http", "https", "www", "com", "net", "org", "jpg", "jpeg", "png", "gif", "html",
-    "link", "links", "url", "site", "page", "video", "youtube", "preview", "format",
-    # vague adjectives
+    "http", "https", "www", "com", "net", "org", "io", "jpg", "jpeg", "png", "gif", "html",
+    "link", "links", "url", "site", "page", "video", "youtube", "yt", "preview", "format",
     "good", "bad", "best", "better", "worse", "nice", "cool", "great", "awesome", "amazing",
-    "kind", "type", "else", "anything", "something", "nothing", "everything",
+    "kind", "type", "sort", "maybe", "probably", "literally",
+    "else", "anything", "something", "nothing", "everything",
 ]
 SMALL_TOPIC_STOP_WORDS = [
     "im", "dont", "cant", "wont", "didnt", "isnt", "thats", "youre", "ive",

@@ -40,8 +40,25 @@ def test_baseline_mentions(spark):
 
 def test_persona(spark):
     df = spark.createDataFrame([(0,), (99,)], "c int")
-    assert [r[0] for r in df.select(categories.persona(F.col("c"))).collect()] == [vocab.CLUSTER_PERSONAS[0], "Cluster 99"]
-    assert df.select(categories.persona(F.col("c"), {})).first()[0] == "Cluster 0"
+    named = categories.persona(F.col("c"), vocab.CLUSTER_PERSONAS)
+    assert [r[0] for r in df.select(named).collect()] == [vocab.CLUSTER_PERSONAS[0], "Cluster 99"]
+    assert df.select(categories.persona(F.col("c"))).first()[0] == "Cluster 0"
+
+
+def test_winners_keep_equal_rows_and_rank_without_texts(spark):
+    rows = [("s", "a", "1", "comment", "t", "text " + str(k % 3), 5, 10) for k in range(6)] + [(None, "b", "2", "comment", None, "x", 1, 1)] * 2
+    posts = spark.createDataFrame(rows, "subreddit string, author string, id string, data_type string, title string, body string, score bigint, created_utc bigint")
+    top = authors.top_posts(posts, 4).collect()
+    assert sorted((r["subreddit"] or "", r["rank"]) for r in top) == [("", 1), ("", 2), ("s", 1), ("s", 2), ("s", 3), ("s", 4)]
+    assert len({r["body"] for r in top if r["subreddit"] == "s"}) == 2
+    best = authors.best_posts(posts)
+    assert sorted(r["author"] for r in best.collect()) == ["a", "b"] and best.columns == posts.columns
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    ranked = [line for line in plan.split("\n") if "WindowGroupLimit" in line or "+- Window [" in line]
+    assert ranked and not [line for line in ranked if "body" in line or "title" in line]
+    inputs = plan.split("WindowGroupLimit")[1].split("\n")[1]
+    assert "_row" in inputs and not [c for c in inputs.split(" AS _row")[-1].split(",") if "body#" in c]
+
 
 
 def test_periods(spark):

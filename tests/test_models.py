@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from forumlens.ml import balance, classify, evaluate, features, regress, segment
 from forumlens.operators import topics as tp
+from forumlens.session import stage
 
 THEMES = {0: "gpu model train loss batch".split(), 1: "bread oven flour yeast dough".split()}
 
@@ -119,6 +120,11 @@ def test_linear_and_ridge(spark):
     linear = regress.fit_linear(df, min_df=2)
     assert evaluate.regression_table(linear.predictions()).first()["rmse"] < 2
     ridge = regress.fit_ridge(df, min_df=2, max_df=1.0)
+    longer = regress.fit_ridge(df, min_df=2, max_df=1.0, max_iter=20_000)
+    assert regress.extreme_coefficients(ridge, 10).collect() == regress.extreme_coefficients(longer, 10).collect()
+    assert not ridge.train.schema["features"].metadata
+    with pytest.raises(RuntimeError, match="converge"):
+        regress.fit_ridge(df, min_df=2, max_df=1.0, max_iter=2)
     ends = regress.extreme_coefficients(ridge, 3).collect()
     assert len(ends) == 6
     low = {r["feature"] for r in ends if r["side"] == "smallest"}
@@ -141,13 +147,41 @@ def test_classifiers_and_importance(spark):
     assert {r[0] for r in labels} == {"Text AI", "Other"}
 
 
+def test_dampened_counts(spark):
+    df = spark.createDataFrame([(Vectors.sparse(5, [1, 4], [1.0, 8.0]),), (Vectors.sparse(5, [], []),)], ["v"])
+    got = [r["v"] for r in stage(df.select(regress.dampened(F.col("v")).alias("v")), ["v"]).collect()]
+    assert got == [Vectors.sparse(5, [1, 4], [1.0, 1.0 + math.log(8.0)]), Vectors.sparse(5, [], [])]
+
+
+def test_attached_topics_keep_rows_of_repeated_ids(spark):
+    rows = [("p1", "s", "a", "text one", 1), ("p1", "s", "a", "text two", 1), ("p2", "s", "b", "x", 2), ("p2", "s", "b", "x", 2), ("p3", None, None, None, None)]
+    posts = spark.createDataFrame(rows, "id string, subreddit string, author string, body string, created_utc bigint")
+    weights = tp.with_post_key(posts).withColumn("topicDistribution", F.length("body")).select(*tp.POST_KEY, "topicDistribution")
+    got = sorted((r["id"], r["body"] or "", r["topicDistribution"] or 0) for r in tp.attach_topics(posts, weights).collect())
+    assert got == [("p1", "text one", 8), ("p1", "text two", 8), ("p2", "x", 1), ("p2", "x", 1), ("p3", "", 0)]
+
+
+def test_embedding_does_not_depend_on_the_input_layout(spark):
+    df = themed(spark).withColumn("words_clean", F.col("tokens"))
+    found = []
+    for layout in (df.repartition(3), df.coalesce(1), df.repartition(11, "text")):
+        word2vec = features.embedding_stages(size=4, min_count=2)[0]
+        model = word2vec.fit(features.dealt(layout.select("id", "words_clean")))
+        found.append({r["word"]: tuple(r["vector"].toArray()) for r in model.getVectors().collect()})
+    assert found[0] == found[1] == found[2]
+
+
 def test_user_segments(topic_model):
-    _, documents = topic_model
+    topics, documents = topic_model
     users = segment.user_topics(documents)
     rows = {r["author"]: r for r in users.collect()}
     assert len(rows) == 20 and rows["u0"]["comment_count"] == 15
     assert rows["u0"]["primary_tool"] == "OpenAI" and rows["u1"]["primary_tool"] is None
-    clustered = segment.with_clusters(users, segment.fit_clusters(users, k=2), {})
+    model = segment.fit_clusters(users, k=2)
+    names = segment.cluster_names(model, tp.topic_terms(topics, 5))
+    assert sorted(names) == [0, 1] and all(n.startswith(f"Cluster {c}: ") for c, n in names.items())
+    assert {frozenset(n.split(": ")[1].split(", ")) <= set(THEMES[0]) for n in names.values()} == {True, False}
+    clustered = segment.with_clusters(users, model, names)
     profile = {r["cluster"]: r for r in segment.cluster_profile(clustered).collect()}
     assert sorted(r["n_users"] for r in profile.values()) == [10, 10]
     assert {r["top_primary_tool"] for r in profile.values()} == {"OpenAI", None}

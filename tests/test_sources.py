@@ -5,6 +5,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from forumlens import schemas, session
+from forumlens.session import path_bytes
 from forumlens.operators import quality
 from forumlens.sources import ingest, readers, writers
 
@@ -32,7 +33,9 @@ def test_ingest_round_trip(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year_month" in plan
     both = readers.unify(comments, readers.read_parquet(spark, f"{tmp_path}/out/submissions"))
     assert both.where("data_type = 'submission'").first()["body"] is None
-    assert quality.table_bytes(comments) > 0
+    summary = quality.with_size(quality.dataset_summary(both), {k: f"{tmp_path}/out/{k}s" for k in ("comment", "submission")})
+    assert {r["data_type"]: r["size_gb"] for r in summary.collect()} == {"comment": 0.0, "submission": 0.0}
+    assert path_bytes(spark, f"{tmp_path}/out/comments") >= sum(f.stat().st_size for f in (tmp_path / "out/comments").rglob("*.parquet")) > 0
 
 
 def test_partitioned_scan_needs_no_loop(spark, tmp_path):
@@ -78,7 +81,8 @@ def test_csv_sinks(spark, tmp_path):
     writers.write_single_parquet(df, f"{tmp_path}/onep")
     assert len(list((tmp_path / "onep").glob("part-*.parquet"))) == 1
     with pytest.raises(ValueError, match="exceeds"):
-        writers.single_file(df, max_rows=1)
+        writers.write_single_parquet(df, f"{tmp_path}/refused", max_rows=1)
+    assert not (tmp_path / "refused").exists()
 
 
 def test_profile_and_guard(spark):

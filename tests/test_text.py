@@ -1,6 +1,7 @@
 """Text cleaning, tokens and lexicon scores on hand-made rows."""
 
 import pytest
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from forumlens import vocab
@@ -71,6 +72,7 @@ def test_stop_words_hold_split_contractions(spark):
     words = tx.default_stop_words()
     assert {"doesn", "t", "doesn't"} <= set(words)
     assert "doesn" not in tx.default_stop_words(split_stems=False)
+    assert tx.default_stop_words(split_stems=False) == sorted(set(StopWordsRemover.loadDefaultStopWords("english")))
 
 
 def test_lemmas_both_ways(spark):
@@ -80,6 +82,20 @@ def test_lemmas_both_ways(spark):
     assert {r["id"]: r["tokens"] for r in tx.lemmatise(df, lemmas).collect()} == expected
     table = spark.createDataFrame(list(lemmas.items()), "form string, lemma string")
     assert {r["id"]: r["tokens"] for r in tx.lemmatise_by_join(df, table).collect()} == expected
+    rows = [("a", ["docs", "y"]), ("a", ["z"]), ("b", []), ("a", ["docs", "y"]), ("c", None), ("d", ["y", "docs", None, "docs"])]
+    same = spark.createDataFrame(rows, "id string, tokens array<string>")
+    twice = table.union(spark.createDataFrame([("docs", "zzz"), ("unused", "u")], table.schema))
+    got = sorted((r["id"], str(r["tokens"])) for r in tx.lemmatise_by_join(same, twice).collect())
+    new = [("a", ["doc", "y"]), ("a", ["z"]), ("b", []), ("a", ["doc", "y"]), ("c", None), ("d", ["y", "doc", None, "doc"])]
+    assert got == sorted((i, str(t)) for i, t in new)
+
+
+def test_whole_stop_list_and_expected_tokens(spark):
+    words = set(vocab.TOPIC_STOP_WORDS)
+    assert len(words) == 234 and {"them", "just", "isn't", "r", "noone", "literally", "it’s"} <= words
+    stops = tx.default_stop_words(vocab.TOPIC_STOP_WORDS)
+    sentence = "I think they should just run their own GPU model more, because it really helps everyone training locally"
+    assert one(spark, text.topic_tokens(F.col("t"), stops), sentence) == ["run", "gpu", "model", "helps", "training", "locally"]
 
 
 def test_title_features(spark):
