@@ -136,8 +136,9 @@ def embedding_stages(
     """Mean word embedding, topics, one-hot time and surface features in one vector.
 
     Word2Vec trains one model per partition and averages them, so their number belongs to the model: with it
-    fixed and the rows `dealt`, the embedding is the same on any cluster. More partitions let more tasks
-    train, each on fewer sentences.
+    fixed and the rows `dealt`, the parts are the same on any cluster. More partitions let more tasks train,
+    each on fewer sentences. MLlib's tasks change shared weights in place, so tasks that run in one executor
+    still disturb one another; only `partitions=1`, one task for all sentences, repeats to the last digit.
     """
     return [
         Word2Vec(
