@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,11 @@ OPEN = 64
 MERGED = 32
 END_ID = 1
 #: A token cache is emptied when it holds so many words; the common ones are back at once.
-CACHE_WORDS = 250_000
-LONGEST_CACHED = 48
-TAIL = ".,;:!?"
+CACHE_WORDS = 400_000
+#: Marks that the tokenizer cuts from the letters before them.
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters whose normal and lower-case forms are not left to this module.
+BEYOND = "[^\\x{0}-\\x{24F}]|\\x{130}"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -34,53 +38,75 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class WordTokenizer:
     """Ids of whole texts from a tokenizer that never joins characters across white space.
 
-    Words are looked up in a bounded cache, since the vocabulary of a corpus is small against its length;
-    unknown ones are encoded by the tokenizer, all of a batch together. Ids are little-endian uint32 bytes.
+    A batch is cut at ASCII white space and its different words are worked on once. A word of plain letters
+    and perhaps marks after them is two parts, as the tokenizer cuts there: letters are lower-cased and looked
+    up in a bounded cache, and unknown ones go to the tokenizer's model in one long line, which is cut again
+    after the ids that end a word. Any other word goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-cased words of letters."""
+        known = self.known
+        new = [w for w in words if w not in known]
+        if new:
+            ids = np.array(self.letters.encode(" ".join(new), add_special_tokens=False).ids, dtype="<u4")
+            cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+            if len(cuts) != len(new) + 1:
+                raise ValueError("the vocabulary does not end every word with one token")
+            raw = ids.tobytes()
+            known.update(zip(new, map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
+        out = list(map(known.__getitem__, words))
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        return out
 
-    def _encode(self, words: list[str]) -> list[bytes]:
+    def _whole(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(words, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        words = self.words
-        split = [_split(text) for text in texts]
-        missing = {w for own in split for w in own if w not in words}
-        # Letters before a mark: the tokenizer cuts there, so each part is encoded once for all its words.
-        parts = {}
-        for w in missing:
-            core = w.rstrip(TAIL)
-            cut = [core, w[len(core) :]] if core and core != w and core.isalpha() else [w]
-            parts[w] = [p.lower() if p.isascii() and p.isalpha() else p for p in cut]
-        new = list({p for cut in parts.values() for p in cut if p not in words})
-        words.update(zip(new, self._encode(new)))
-        words.update([(w, b"".join([words[p] for p in cut])) for w, cut in parts.items()])
-        out = [b"".join([words[w] for w in own]) for own in split]
-        if len(words) > CACHE_WORDS:
-            words.clear()
-        else:
-            for w in [w for w in (*new, *missing) if len(w) > LONGEST_CACHED]:
-                words.pop(w, None)
-        return out
-
-
-#: str.split() also splits at these, which the tokenizer doesn't take for white space.
-_CONTROLS = ("\x1c", "\x1d", "\x1e", "\x1f")
-
-
-def _split(text: str) -> list[str]:
-    if any(c in text for c in _CONTROLS):
-        import regex
-
-        return regex.findall(r"[^\p{White_Space}]+", text)
-    return text.split()
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and the borders between texts."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = lists.flatten().dictionary_encode()
+        words, place = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        letters = pc.ascii_rtrim(words, TAIL)
+        plain = pc.and_not(pc.utf8_is_alpha(letters), pc.match_substring_regex(letters, BEYOND)).to_numpy(zero_copy_only=False)
+        mask = pa.array(plain)
+        heads = pc.utf8_lower(letters.filter(mask)).dictionary_encode()
+        tails = pc.replace_substring_regex(words.filter(mask), f"^.*?([{re.escape(TAIL)}]*)$", r"\1").dictionary_encode()
+        others = words.filter(pa.array(~plain)).to_pylist()
+        # Parts of words: different letters, then different marks, then different other words, then nothing.
+        atoms = self._letters(heads.dictionary.to_pylist())
+        first_tail = len(atoms)
+        atoms += self._whole(tails.dictionary.to_pylist())
+        first_other = len(atoms)
+        atoms += [*self._whole(others), b""]
+        part = np.full((len(words), 2), len(atoms) - 1, dtype=np.int64)
+        part[plain, 0] = heads.indices.to_numpy(zero_copy_only=False)
+        part[plain, 1] = first_tail + tails.indices.to_numpy(zero_copy_only=False)
+        part[~plain, 0] = first_other + np.arange(len(others))
+        sizes = np.array([len(x) // 4 for x in atoms], dtype=np.int64)
+        flat = np.frombuffer(b"".join(atoms), dtype="<u4")
+        begin = np.cumsum(sizes) - sizes
+        used = part[place].reshape(-1)
+        lengths = sizes[used]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        ids = flat[np.repeat(begin[used] - upto[:-1], lengths) + np.arange(upto[-1])]
+        return ids, upto[2 * lists.offsets.to_numpy().astype(np.int64)]
 
 
 @lru_cache(maxsize=2)
@@ -157,10 +183,10 @@ def _pack(path: str, context: int, limit: int):
         tokenizer, windows = _tokenizer(path), Windows(context, limit)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in slices(batches, "text"):
-            texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.batch(texts)):
-                ids += end
-                tokens = len(ids) // 4
+            flat, borders = tokenizer.batch(batch.column("text"))
+            for doc, a, b in zip(batch.column("doc_id").to_pylist(), borders[:-1].tolist(), borders[1:].tolist()):
+                ids = flat[a:b].tobytes() + end
+                tokens = b - a + 1
                 for start in range(0, tokens, context):
                     length = min(context, tokens - start)
                     windows.place([(doc, start, length, ids[4 * start : 4 * (start + length)], tokens)])
