@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from forumlens.session import stage
 
-__all__ = ["digest128", "hash_words", "mix64", "read", "runs", "slices", "stage"]
+__all__ = ["digest128", "hash_words", "mix64", "read", "runs", "slices", "stage", "word_table"]
 
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes hashed in one go; arrays of eight bytes a character stay small whatever a text's length.
@@ -75,8 +75,8 @@ _UP = _powers(_BASE, PIECE)
 _DOWN = _powers(pow(_BASE, -1, 1 << 64), PIECE)
 
 
-def _hash_block(raw: bytes, space: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start positions of the words of one block."""
+def _hash_block(raw: bytes, space: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the words of one block, and its bytes."""
     global _UP, _DOWN
     buf = np.frombuffer(raw, dtype=np.uint8)
     inside = np.concatenate([[False], ~space[buf], [False]])
@@ -87,49 +87,71 @@ def _hash_block(raw: bytes, space: np.ndarray, lower: bool) -> tuple[np.ndarray,
     total = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum(_BYTES[LOWER[buf] if lower else buf] * _UP[: len(buf)], out=total[1:])
     sums = (total[ends] - total[starts]) * _DOWN[starts]
-    return mix64(sums + (ends - starts).astype(np.uint64)), starts
+    return mix64(sums + (ends - starts).astype(np.uint64)), starts, ends, buf
 
 
-def hash_words(texts: Sequence[bytes], space: np.ndarray = SPACE, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of `texts`, and where each text's words begin and end among them.
+def _blocks(texts: Sequence[bytes], space: np.ndarray) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of text of about one piece: bytes, where each part begins, its text and its place there.
 
-    Texts are hashed in blocks; a text longer than a block is cut between words. `lower` folds A-Z.
+    Texts longer than a piece are cut before white space.
     """
     gap = re.compile(b"[" + re.escape(bytes(np.flatnonzero(space).tolist())) + b"]")
-    hashes: list[np.ndarray] = []
-    counts = np.zeros(len(texts), dtype=np.int64)
     parts: list[bytes] = []
     owners: list[int] = []
+    places: list[int] = []
     size = 0
 
-    def flush() -> None:
-        nonlocal parts, owners, size
-        if parts:
-            found, starts = _hash_block(b" ".join(parts), space, lower)
-            first = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
-            per = np.diff(np.searchsorted(starts, first))
-            np.add.at(counts, owners, per)
-            hashes.append(found)
-            parts, owners, size = [], [], 0
+    def block() -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        begin = np.concatenate([[0], np.cumsum([len(p) + 1 for p in parts])])
+        return b" ".join(parts), begin, np.array(owners), np.array(places)
 
     for owner, raw in enumerate(texts):
         at = 0
-        while at < len(raw) or not raw:
+        while at < len(raw):
             end = len(raw)
             if end - at > PIECE:
                 cut = gap.search(raw, at + PIECE)
                 end = cut.start() if cut else end
             if size and size + end - at > PIECE:
-                flush()
+                yield block()
+                parts, owners, places, size = [], [], [], 0
             parts.append(raw[at:end])
             owners.append(owner)
+            places.append(at)
             size += end - at + 1
             at = end
-            if not raw:
-                break
-    flush()
-    offsets = np.concatenate([[0], np.cumsum(counts)])
-    return (np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)), offsets
+    if parts:
+        yield block()
+
+
+def hash_words(texts: Sequence[bytes], space: np.ndarray = SPACE, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of `texts`, and where each text's words begin and end among them.
+
+    Texts are hashed in blocks; a text longer than a block is cut between words. `lower` folds A-Z.
+    """
+    hashes = [np.zeros(0, dtype=np.uint64)]
+    counts = np.zeros(len(texts), dtype=np.int64)
+    for raw, begin, owners, _ in _blocks(texts, space):
+        found, starts, _, _ = _hash_block(raw, space, lower)
+        np.add.at(counts, owners, np.diff(np.searchsorted(starts, begin)))
+        hashes.append(found)
+    return np.concatenate(hashes), np.concatenate([[0], np.cumsum(counts)])
+
+
+def word_table(texts: Sequence[bytes]) -> dict[str, np.ndarray]:
+    """Words of all texts: hash, start in the text's bytes, last byte, line feed before it; `at` borders the texts."""
+    columns: list[tuple[np.ndarray, ...]] = []
+    counts = np.zeros(len(texts), dtype=np.int64)
+    for raw, begin, owners, places in _blocks(texts, SPACE):
+        found, starts, ends, buf = _hash_block(raw, SPACE, True)
+        part = np.searchsorted(begin, starts, side="right") - 1
+        np.add.at(counts, owners, np.bincount(part, minlength=len(owners)))
+        feeds = np.concatenate([[0], np.cumsum(buf == 10, dtype=np.int32)])
+        since = np.maximum(np.concatenate([[0], ends[:-1]]), begin[part]) if len(starts) else starts
+        columns.append((found, starts - begin[part] + places[part], buf[ends - 1], feeds[starts] > feeds[since]))
+    empty = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint8), np.zeros(0, bool))
+    joined = [np.concatenate(c) for c in zip(empty, *columns)]
+    return dict(zip(("hash", "start", "last", "feed"), joined)) | {"at": np.concatenate([[0], np.cumsum(counts)])}
 
 
 def runs(hashes: np.ndarray, width: int) -> np.ndarray:

@@ -1,6 +1,7 @@
 """The operators against brute force, and their edge cases: nulls, empty and long texts, ties, repeats, empty tables."""
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -11,7 +12,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from forumlens.llm import chat, decontaminate, licences, packing, pii, quality, spans, urls, warc
+from forumlens.llm import chat, common, decontaminate, licences, packing, pii, quality, spans, urls, warc
+from forumlens.llm.common import hash_words, mix64
 from forumlens.llm.components import components
 from forumlens.llm.minhash import near_duplicates
 
@@ -166,6 +168,68 @@ def test_url_templates_learn_bad_branches(spark):
     assert {by[1000 + k].template for k in range(300)} == {"/*/*"} and by[1000].verdict == "allow"
 
 
+def brute_templates(rows, marks):
+    """The tree built by plain loops: template and purity of each (host, path)."""
+    good, labelled = Counter(), Counter()
+    for page, value in marks:
+        if page is not None and value is not None:
+            good[page] += value
+            labelled[page] += 1
+    paths = defaultdict(lambda: [0, 0, 0])
+    for page, host, path in rows:
+        own = paths[host, path]
+        own[0], own[1], own[2] = own[0] + 1, own[1] + good[page], own[2] + labelled[page]
+    tree = {k: "" for k in paths}
+    parts = {(h, p): p.removeprefix("/").split("/", urls.LEVELS - 1) if p else [] for h, p in paths}
+    for level in range(max(map(len, parts.values()))):
+        children, branch = defaultdict(lambda: [0, 0, 0]), defaultdict(lambda: [0, 0, 0])
+        for key, own in parts.items():
+            if level < len(own):
+                for n, v in enumerate(paths[key]):
+                    children[key[0], tree[key], own[level]][n] += v
+                    branch[key[0], tree[key]][n] += v
+        grown = {}
+        for key, own in parts.items():
+            if level >= len(own):
+                grown[key] = tree[key]
+                continue
+            (u, g, n), (au, ag, an) = children[key[0], tree[key], own[level]], branch[key[0], tree[key]]
+            literal = False
+            if au >= urls.MIN_URLS and u >= urls.MIN_SHARE * au and 0 < n < an:
+                p = ag / an
+                error = math.sqrt(p * (1 - p) * (1 / n + 1 / (an - n)))
+                literal = error > 0 and abs(g / n - (ag - g) / (an - n)) > urls.MIN_DIFFERENCE * error
+            grown[key] = tree[key] + "/" + (own[level] if literal else "*")
+        tree = grown
+    sums = defaultdict(lambda: [0, 0])
+    for key, (_, g, n) in paths.items():
+        sums[key[0], tree[key]][0] += g
+        sums[key[0], tree[key]][1] += n
+    g, n = sum(s[0] for s in sums.values()), sum(s[1] for s in sums.values())
+    share = g / n if n else 1.0
+    pure = {k: round((a + urls.PRIOR * share) / (b + urls.PRIOR), 9) for k, (a, b) in sums.items()}
+    return {k: (t, pure[k[0], t]) for k, t in tree.items()}
+
+
+def test_url_tree_matches_brute_force(spark):
+    rng = random.Random(16)
+    rows, marks = [], []
+    for k in range(1500):
+        first = rng.choice(["a", "b", "c", str(rng.randrange(400))])
+        path = "/" + "/".join([first, *[rng.choice(["x", "y", str(rng.randrange(50))]) for _ in range(rng.randrange(0, 9))]])
+        rows.append((k, rng.choice(["one.edu", "two.edu"]), rng.choice([path, path + "/", "", "/"]) if k % 9 == 0 else path))
+        if k % 2:
+            marks.append((k, int(rng.random() < (0.2 if first == "b" or path.endswith("y") else 0.9))))
+    pages = spark.createDataFrame([(k, f"http://{h}{p}?q=/z") for k, h, p in rows], "page_id long, url string")
+    got = {r.page_id: (r.template, r.purity, r.verdict) for r in urls.judge(pages, spark.createDataFrame(marks, "page_id long, good int")).collect()}
+    want = brute_templates(rows, marks)
+    for k, host, path in rows:
+        template, purity = want[host, path]
+        assert got[k][0] == template and got[k][1] == pytest.approx(purity, abs=2e-9), (k, path)
+        assert got[k][2] == ("block" if purity < urls.MIN_PURITY else "allow")
+    assert {t for t, *_ in got.values()} & {"/b/*", "/b"} and len({v for *_, v in got.values()}) == 2
+
+
 # --- decontamination -----------------------------------------------------------------------------------------
 
 
@@ -261,26 +325,69 @@ def test_chat_round_trip(spark):
 # --- sentence spans ------------------------------------------------------------------------------------------
 
 
+def brute_sentences(text):
+    """Sentences as lists of words with the place where each begins, by plain loops."""
+    raw = text.encode()
+    words = [(m.start(), m[0]) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    hashes, _ = hash_words([raw])
+    groups = [[]]
+    for k, (at, word) in enumerate(words):
+        if groups[-1] and (b"\n" in raw[groups[-1][-1][0] + len(groups[-1][-1][1]) : at] or groups[-1][-1][1][-1:] in (b".", b"!", b"?")):
+            groups.append([])
+        groups[-1].append((at, word, k))
+    for ends in (lambda w, k: w[-1:] in (b",", b";", b":"), lambda w, k: int(mix64(hashes[k : k + 1])[0]) % spans.CUT_EVERY == 0):
+        cut = []
+        for group in groups:
+            cut.append([])
+            for at, word, k in group:
+                cut[-1].append((at, word, k))
+                if len(group) > spans.LONG_SENTENCE and ends(word, k):
+                    cut.append([])
+        groups = [g for g in cut if g]
+    return [[w.lower() for _, w, _ in g] for g in groups if g], [g[0][0] for g in groups if g]
+
+
+def brute_spans_of(parts):
+    places = set()
+    for a in range(len(parts)):
+        for b in range(a + spans.MIN_SENTENCES, len(parts) + 1):
+            if sum(map(len, parts[a:b])) >= spans.MIN_WORDS:
+                places.add((a, b))
+                break
+    ended = {b for _, b in places}
+    for b in range(1, len(parts) + 1):
+        if b not in ended:
+            for a in range(b - spans.MIN_SENTENCES, -1, -1):
+                if sum(map(len, parts[a:b])) >= spans.MIN_WORDS:
+                    places.add((a, b))
+                    break
+    return [(a, b, b" ".join(w for p in parts[a:b] for w in p)) for a, b in sorted(places)]
+
+
 def test_span_removal_matches_brute_force(spark):
     rng = random.Random(8)
     passage = prose(rng, 70)
     rows = [(k, prose(rng, 60) + ".\n" + (passage + "\n" if k % 3 == 0 else "") + prose(rng, 40)) for k in range(60)]
-    rows += [(100, passage + "\n" + passage), (101, rows[5][1]), (101, rows[5][1]), *edges()]
+    rows += [(100, passage + "\n" + passage), (101, rows[5][1]), (101, rows[5][1]), *[r for r in edges() if len(r[1] or "") < 10**5]]
+    rows += [(200 + k, " ".join(rng.choices(WORDS[:30], k=90)) + ", " + passage) for k in range(3)] + [(300, rows[6][1] + "\u2028\x1c é.\n\n a"), (None, rows[6][1])]
     got = Counter((r.doc_id, r.text, r.n_removed) for r in spans.remove_repeats(with_clashes(docs_of(spark, rows))).collect())
-    order = sorted({(k is None, k or 0, t) for k, t in rows}, key=lambda r: (r[0], r[1], r[2] or ""))
+    parts = {t: brute_sentences(t or "") for _, t in rows}
+    own_spans = {t: brute_spans_of(p) for t, (p, _) in parts.items()}
     first, count = {}, Counter()
-    for none, k, t in order:
-        for a, b, w in spans.spans(t or ""):
+    for none, k, t in sorted({(k is None, k or 0, t) for k, t in rows}, key=lambda r: (r[0], r[1], r[2] or "")):
+        for _, _, w in own_spans[t]:
             count[w] += 1
             first.setdefault(w, (1 << 63) - 1 if none else k)
     want = Counter()
     for k, t in rows:
-        own, gone, seen = spans.sentences(t or ""), set(), set()
-        for a, b, w in spans.spans(t or ""):
+        gone, seen, starts = set(), set(), parts[t][1]
+        for a, b, w in own_spans[t]:
             if w in seen or first[w] != ((1 << 63) - 1 if k is None else k):
                 gone.update(range(a, b))
             seen.add(w)
-        text = t if not gone else "".join(t[a:b] for n, (a, b) in enumerate(own) if n not in gone)
+        raw = (t or "").encode()
+        cuts = [0, *starts[1:], len(raw)]
+        text = t if not gone else b"".join(raw[a:b] for n, (a, b) in enumerate(zip(cuts, cuts[1:])) if n not in gone).decode()
         want[(k, text, len(gone))] += 1
     assert got == want
     texts = Counter()
@@ -290,10 +397,25 @@ def test_span_removal_matches_brute_force(spark):
     assert spans.remove_repeats(docs_of(spark, [])).count() == 0
 
 
-def test_sentences_make_up_the_text():
-    for _, text in edges():
-        cuts = spans.sentences(text or "")
-        assert "".join((text or "")[a:b] for a, b in cuts) == (text or "")
+def test_spans_of_very_long_texts(spark):
+    rows = [r for r in edges() if len(r[1] or "") > 10**4]
+    got = {r.doc_id: r for r in spans.remove_repeats(docs_of(spark, rows)).collect()}
+    assert got[7].text == rows[0][1] and got[7].n_sentences == 1
+    assert got[10].text == dict(rows)[10] and got[10].n_removed == 0 and got[10].n_sentences > 4000
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 50])
+def test_word_table_in_pieces(monkeypatch, piece):
+    monkeypatch.setattr(common, "PIECE", piece)
+    texts = [(t or "").encode() for _, t in edges() if len(t or "") < 10**4] + [b"a\n\nb  c\x0b\nd. e", b"\n x"]
+    table = common.word_table(texts)
+    for k, raw in enumerate(texts):
+        own = slice(table["at"][k], table["at"][k + 1])
+        found = [(m.start(), m[0][-1]) for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+        assert list(zip(table["start"][own].tolist(), table["last"][own].tolist())) == found
+        ends = [0, *(m.end() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw))]
+        assert table["feed"][own].tolist() == [b"\n" in raw[e : a] for e, (a, _) in zip(ends, found)]
+        assert table["hash"][own].tolist() == hash_words([raw])[0].tolist()
 
 
 # --- near duplicates -----------------------------------------------------------------------------------------
@@ -386,6 +508,56 @@ def test_licences_and_inheritance(spark):
     assert licences.scan(df.limit(0)).count() == 0
 
 
+def brute_licences(files):
+    """Best cosine of each file over all of its passages, without leaving any out beforehand."""
+    token = re.compile(licences.WORD)
+    plain = [Counter(token.findall(t.lower())) for _, t in licences.NOTICES]
+    vocabulary = set().union(*plain)
+    texts = [t for _, t in files if t is not None]
+    count = Counter(w for t in texts for w in set(token.findall(t.lower())) & vocabulary)
+    total = len(files)
+    idf = lambda w: math.log((total + 1) / (count[w] + 1)) + 1
+    unseen = math.log(total + 1) + 1
+    weight = lambda c: {w: n * (idf(w) if w in vocabulary else unseen) for w, n in c.items()}
+    length = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    out = {}
+    for k, (_, text) in enumerate(files):
+        best = None
+        passages = {p for cut in (r"\n\s*\n", r"\n", r"(?<=[.!?])\s+") for p in re.split(cut, text or "")}
+        for passage in passages:
+            v = weight(Counter(token.findall(passage.lower())))
+            for order, (name, _) in enumerate(licences.NOTICES):
+                t = weight(plain[order])
+                dot = sum(v.get(w, 0) * x for w, x in t.items())
+                cosine = round(dot / (length(v) * length(t)), 9) if v else 0
+                if cosine >= licences.MIN_COSINE and (best is None or (cosine, -order) > best[:2]):
+                    best = (cosine, -order, name)
+        out[k] = best
+    return out
+
+
+def test_licence_cosines_match_brute_force(spark):
+    rng = random.Random(15)
+    terms = sorted({w for _, t in licences.NOTICES for w in re.findall(licences.WORD, t.lower())})
+    files = []
+    for k in range(120):
+        words = rng.choice(licences.NOTICES)[1].split()
+        for _ in range(rng.randrange(0, 7)):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice([[rng.choice(terms)], [], [rng.choice(WORDS)], [words[at], "the"]])
+        body = " ".join(rng.choices(terms + WORDS[:200], k=40))
+        files.append((f"d{k % 7}/f{k}", f"{body}.\n{' '.join(words)}\n\n{body}" if k % 3 else prose(rng, 60)))
+    df = spark.createDataFrame([(k, p, t) for k, (p, t) in enumerate(files)], "n long, path string, text string")
+    got = {r.n: (r.licence, r.cosine) for r in licences.scan(df).where("inherited_from IS NULL").collect()}
+    want = brute_licences(files)
+    assert sum(b is not None for b in want.values()) > 30
+    for k, best in want.items():
+        if best is None:
+            assert got.get(k, (None, None)) == (None, None)
+        else:
+            assert got[k][0] == best[2] and got[k][1] == pytest.approx(best[0], abs=2e-9)
+
+
 # --- archives ------------------------------------------------------------------------------------------------
 
 
