@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.llm.common import digest128, hash_words, mix64, runs, slices, stage
@@ -15,8 +15,9 @@ from forumlens.llm.components import components
 WIDTH = 5
 BANDS = 24
 ROWS = 5
-#: Members of a bucket that one task compares at once.
+#: Members of a bucket, and shingles of theirs, that stand on one side of a comparison in a task.
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 19
 
 _SIGMA = (np.uint32(0x7FEB352D), np.uint32(0x846CA68B))
 _PI = (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
@@ -127,13 +128,9 @@ def _block_links(percent: int):
     """Links between different parts of one pair of blocks, as a forest: no more links than members."""
 
     def run(table: pa.Table) -> pa.Table:
-        reps = table.column("rep").to_numpy()
-        part = {int(r): int(p) for r, p in zip(reps, table.column("part").to_pylist())}
-        side = dict(zip(reps.tolist(), table.column("side").to_pylist()))
-        both = table.column("single").to_pylist()
+        reps, parts = (table.column(c).to_numpy() for c in ("rep", "part"))
         sets = [np.frombuffer(v.as_py(), dtype=np.uint64) for v in table.column("shingles")]
-        order = reps.tolist()
-        root = {p: p for p in part.values()}
+        root = {p: p for p in parts.tolist()}
 
         def find(x: int) -> int:
             while root[x] != x:
@@ -158,18 +155,17 @@ def _block_links(percent: int):
             dense = np.zeros((len(sets), width), dtype=np.float32)
             dense[held[first:last], code[first:last] - low] = 1
             shared += dense @ dense.T
+        # Counts are exact in single precision; the comparison needs more digits than it has.
+        shared = shared.astype(np.int64)
         union = sizes[:, None] + sizes[None, :] - shared
-        left, right = np.nonzero(np.triu(100 * shared >= percent * union, 1))
+        linked = (100 * shared >= percent * union) & (parts[:, None] != parts[None, :])
         found: list[tuple[int, int]] = []
-        for i, j in zip(left.tolist(), right.tolist()):
-            x, y = order[i], order[j]
-            if not both[i] and side[x] == side[y]:
-                continue
-            p, q = find(part[x]), find(part[y])
+        for i, j in zip(*np.nonzero(np.triu(linked, 1))):
+            p, q = find(int(parts[i])), find(int(parts[j]))
             if p != q:
                 root[p] = q
-                found.append((x, y))
-        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+                found.append((int(reps[i]), int(reps[j])))
+        return pa.table([pa.array(c, pa.int64()) for c in (zip(*found) if found else [[]] * 2)], names=["a", "b"])
 
     return run
 
@@ -188,8 +184,8 @@ def near_duplicates(
     Documents with equal sets are one class from the start, so groups of copies cost nothing further.
     Class representatives meet in the buckets of each band. First every member of a bucket is compared
     with the bucket's smallest member only, which joins most groups with work linear in their size. Then
-    only buckets that still hold unconnected members are compared in full, in blocks of `block` members
-    against blocks, skipping pairs known to be connected. With 24 bands of 5 rows a linked pair is missed
+    only buckets that still hold unconnected members are compared in full, in blocks of `block` members (fewer
+    if they are long) against blocks, skipping pairs known to be connected. With 24 bands of 5 rows a linked pair is missed
     with a probability below 1e-6. All links are confirmed on the full sets.
     """
     base = stage(
@@ -201,7 +197,7 @@ def near_duplicates(
     classes = stage(full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep")))
     members = stage(
         full.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket"))
+        .select(F.col("doc_id").alias("rep"), "n_shingles", F.explode("bands").alias("bucket"))
         .distinct()
     )
     shared = stage(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("center")).where("n > 1"))
@@ -252,26 +248,30 @@ def _open_buckets(members: DataFrame, parts: DataFrame, block: int) -> DataFrame
     go to separate blocks, and a pair of blocks of one part alone is left out.
     """
     held = members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("part")
+        "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("part")
     )
     mixed = (
         held.groupBy("bucket", "part")
-        .agg(F.count("*").alias("n"), *[F.bit_xor(h).alias(c) for h, c in zip(digest128("rep"), ("who", "who_too"))])
+        .agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"), *[F.bit_xor(h).alias(c) for h, c in zip(digest128("rep"), ("who", "who_too"))])
         .groupBy("bucket")
         .agg(
             F.count("*").alias("parts"),
             F.sum("n").alias("n"),
-            F.max(F.struct("n", "part")).alias("main"),
+            F.sum("size").alias("size"),
+            F.max(F.struct("n", "part", "size")).alias("main"),
             F.bit_xor("who").alias("who"),
             F.bit_xor("who_too").alias("who_too"),
         )
         .where("parts > 1")
     )
-    once = mixed.groupBy("who", "who_too", "n").agg(F.min(F.struct("bucket", "main")).alias("b")).select(
+    def blocks(n: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(n / block), F.ceil(size / BLOCK_SHINGLES))
+
+    once = mixed.groupBy("who", "who_too", "n").agg(F.min(F.struct("bucket", "main", "size")).alias("b")).select(
         "b.bucket",
         F.col("b.main.part").alias("main_part"),
-        F.ceil(F.col("b.main.n") / block).alias("mains"),
-        F.ceil((F.col("n") - F.col("b.main.n")) / block).alias("others"),
+        blocks(F.col("b.main.n"), F.col("b.main.size")).alias("mains"),
+        blocks(F.col("n") - F.col("b.main.n"), F.col("b.size") - F.col("b.main.size")).alias("others"),
     )
     spread = held.join(once, "bucket").withColumn("main", F.col("part") == F.col("main_part"))
     spread = spread.withColumn(
@@ -283,12 +283,9 @@ def _open_buckets(members: DataFrame, parts: DataFrame, block: int) -> DataFrame
     last = F.col("mains") + F.col("others") - 1
     first = F.when(F.col("main"), F.col("mains")).otherwise(F.lit(0))
     return spread.withColumn("other", F.explode(F.sequence(first, last))).select(
-            "bucket",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            "rep",
-            "part",
-            F.col("own").alias("side"),
-            (F.col("own") == F.col("other")).alias("single"),
+        "bucket",
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+        "rep",
+        "part",
     )
-
