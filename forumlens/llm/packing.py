@@ -21,8 +21,9 @@ OPEN = 64
 #: Partitions whose leftover windows are merged by one task, so that no task holds those of all.
 MERGED = 32
 END_ID = 1
-#: A token cache is emptied when it holds so many words; the common ones are back at once.
-CACHE_WORDS = 600_000
+#: The ids of so many words are remembered, about 40 bytes each; then all are forgotten, and the common ones
+#: are back at once.
+CACHE_WORDS = 1_000_000
 #: Marks that the tokenizer cuts from the letters before them.
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Letters whose normal and lower-case forms are not left to this module.
@@ -56,27 +57,46 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Ids of lower-cased words of letters."""
-        known = self.known
-        new = [w for w in words if w not in known]
-        if new:
-            ids = np.array(self.letters.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known words as sorted hashes, and for each where its ids begin and how many they are."""
+        self.keys = np.zeros(0, dtype=np.int64)
+        self.begin, self.size = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
+        self.flat = np.zeros(0, dtype="<u4")
+
+    def _letters(self, words: list[str]) -> pa.Array:
+        """Ids of lower-cased words of letters. Words are told apart by 64-bit hashes."""
+        keys = np.fromiter(map(hash, words), dtype=np.int64, count=len(words))
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        new = np.flatnonzero(~known)
+        if len(new):
+            new = new[np.argsort(keys[new], kind="stable")]
+            line = " ".join([words[i] for i in new.tolist()])
+            ids = np.array(self.letters.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
             if len(cuts) != len(new) + 1:
                 raise ValueError("the vocabulary does not end every word with one token")
-            raw = ids.tobytes()
-            known.update(zip(new, map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
-        out = list(map(known.__getitem__, words))
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        return out
-
-    def _whole(self, words: list[str]) -> list[bytes]:
+            order = np.argsort(np.concatenate([self.keys, keys[new]]), kind="stable")
+            begin, size = (len(self.flat) + cuts[:-1]).astype(np.int32), np.diff(cuts).astype(np.int32)
+            self.keys = np.concatenate([self.keys, keys[new]])[order]
+            self.begin = np.concatenate([self.begin, begin])[order]
+            self.size = np.concatenate([self.size, size])[order]
+            self.flat = np.concatenate([self.flat, ids])
+            at = np.searchsorted(self.keys, keys)
+        size = self.size[at]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat[np.repeat(self.begin[at] - upto[:-1], size) + np.arange(upto[-1])]
+        if len(self.keys) > CACHE_WORDS:
+            self._forget()
+        buffers = [None, pa.py_buffer((4 * upto).astype(np.int32)), pa.py_buffer(ids)]
+        return pa.Array.from_buffers(pa.binary(), len(words), buffers)
+
+    def _whole(self, words: list[str]) -> pa.Array:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return pa.array([np.array(e.ids, dtype="<u4").tobytes() for e in found], pa.binary())
 
     def batch(self, texts: pa.Array) -> tuple[memoryview, np.ndarray]:
         """The ids of all texts as bytes, and the borders between texts."""
@@ -90,17 +110,15 @@ class WordTokenizer:
         tails = pc.replace_substring_regex(words.filter(mask), f"^.*?([{re.escape(TAIL)}]*)$", r"\1").dictionary_encode()
         others = words.filter(pa.array(~plain)).to_pylist()
         # Parts of words: different letters, then different marks, then different other words, then nothing.
-        atoms = self._letters(heads.dictionary.to_pylist())
-        first_tail = len(atoms)
-        atoms += self._whole(tails.dictionary.to_pylist())
-        first_other = len(atoms)
-        atoms += [*self._whole(others), b""]
+        kinds = [self._letters(heads.dictionary.to_pylist()), self._whole(tails.dictionary.to_pylist()), self._whole(others)]
+        first_tail, first_other = len(kinds[0]), len(kinds[0]) + len(kinds[1])
+        atoms = pa.concat_arrays([*kinds, pa.array([b""], pa.binary())])
         part = np.full((len(words), 2), len(atoms) - 1, dtype=np.int32)
         part[plain, 0] = heads.indices.to_numpy(zero_copy_only=False)
         part[plain, 1] = first_tail + tails.indices.to_numpy(zero_copy_only=False)
         part[~plain, 0] = first_other + np.arange(len(others))
         # Taking the parts in the order of the text lines their ids up in one buffer.
-        taken = pa.array(atoms, pa.binary()).take(pa.array(part[place].reshape(-1)))
+        taken = atoms.take(pa.array(part[place].reshape(-1)))
         _, offsets, ids = taken.buffers()
         upto = np.frombuffer(offsets, dtype=np.int32)[: len(taken) + 1]
         return memoryview(ids or b""), upto[2 * lists.offsets.to_numpy().astype(np.int64)]
