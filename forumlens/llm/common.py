@@ -17,14 +17,16 @@ __all__ = ["digest128", "hash_words", "mix64", "read", "runs", "slices", "stage"
 
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Bytes hashed in one go; arrays of eight bytes a character stay small whatever a text's length.
-PIECE = 1 << 20
+PIECE = 1 << 18
+#: Bytes of text that an operator works on at a time, at least one text.
+SLICE = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 * PIECE) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that `column` holds about `limit` bytes in each, one row at least."""
     for batch in batches:
         at, rows = 0, batch.num_rows
