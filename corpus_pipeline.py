@@ -16,12 +16,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, quality.train(docs, read(spark, sf_dir, "labels")))
 
 
+#: Similarity in hundredths from which the stage takes documents for near copies, and bands that miss such a pair
+#: with a probability below 1e-6; 85, the default, is what op6 asks for.
+NEAR_PERCENT = 80
+NEAR_BANDS = 36
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id.
+    """One document of each group of near copies (Jaccard of 0.80 or more): the one with the smallest doc_id.
 
     Rows without a doc_id stay; of rows that repeat a doc_id, all stay if the doc_id does.
     """
-    groups = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    groups = near_duplicates(docs, percent=NEAR_PERCENT, bands=NEAR_BANDS).where("NOT kept").select("doc_id").distinct()
     return docs.join(groups, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -719,3 +719,21 @@ def test_pipeline_stages(spark, sf_dir):
     packed = corpus_pipeline.STAGES[-1][1](spark, before, sf_dir)
     kept = {r.doc_id for r in before.select("doc_id").collect()}
     assert {r.doc_id for r in packed.select("doc_id").collect()} == kept and kept
+
+
+def test_near_dedup_stage_takes_pairs_from_80_hundredths(spark, sf_dir):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    rows = []
+    for k in range(40):
+        words = [f"p{rng.randrange(10**9)}" for _ in range(200)]
+        copy = list(words)
+        for at in range(20, 20 + 30 * (1 + k % 5), 30):
+            copy[at] = f"q{rng.randrange(10**9)}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    tight, want = brute_groups(rows, 85), brute_groups(rows, 80)
+    between = sum(tight[k][1] != want[k][1] for k in want)
+    assert between >= 8
+    got = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs_of(spark, rows), sf_dir).collect()}
+    assert got == {k for k, (_, group) in want.items() if group == k}
