@@ -21,7 +21,16 @@ MIN_WORDS = 5
 #: Embedded positions that one repetition samples.
 SAMPLED = 4
 RECALL = 0.97
-MAX_REPEATS = 48
+#: Repetitions that a class of lengths can have, and changed copies on which it is measured.
+REPEATS = (6, 12, 24, 48)
+MAX_REPEATS = REPEATS[-1]
+TRIALS = 192
+#: Lengths below are measured each for itself, those above in classes. The walks of items of more than WALKED_WORDS
+#: words fall out of step too often to be measured.
+SINGLE_WORDS = 30
+WALKED_WORDS = 128
+#: Meetings of word pairs that are looked at together, one text at least.
+MEETINGS = 1 << 21
 #: Characters of benchmark text that one pass holds in every task; a larger benchmark takes more passes.
 PASS_CHARS = 16_000_000
 
@@ -100,51 +109,109 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return distance, end - int(np.flatnonzero(back == distance)[0]) if (back == distance).any() else 0, end
 
 
+@dataclass(frozen=True)
+class Pairs:
+    """Rare word pairs of the items that are found without walks: sorted hashes, item and place of each.
+
+    `need` of an item's pairs are left in any part of a text within the limit.
+    """
+
+    hash: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+    need: np.ndarray
+
+    @staticmethod
+    def build(items: list[np.ndarray], exact: list[int]) -> Pairs:
+        """Each item gives its rarest pairs, so many that those an edit can break leave some over.
+
+        Pairs that very many items share are left out where an item has enough others.
+        """
+        grams = [runs(items[k], 2) for k in exact]
+        flat = np.concatenate([np.zeros(0, dtype=np.uint64), *grams])
+        _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+        often = np.split(times[code], np.cumsum([len(g) for g in grams]))
+        need = np.zeros(len(items), dtype=np.int64)
+        found = [(flat[:0], np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+        for k, g, n in zip(exact, grams, often):
+            broken = 2 * (len(items[k]) * EDIT_PERCENT // 100)
+            rare = g[np.lexsort((g, n))[: broken + max(1, (len(g) - broken) // 2)]]
+            place = np.flatnonzero(np.isin(g, rare))
+            need[k] = len(place) - broken
+            found.append((g[place], np.full(len(place), k), place))
+        own, item, place = (np.concatenate(c) for c in zip(*found))
+        order = np.argsort(own, kind="stable")
+        return Pairs(own[order], item[order], place[order], need)
+
+
 @dataclass(frozen=True)
 class Index:
-    """Items of one pass by length, with the keys of every repetition."""
+    """Items of one pass: those found by walks, by repetitions and length, and the pairs of all others.
+
+    `walked` has, by repetitions, the items of each length, the sorted keys and the item of each key.
+    """
 
     ids: list
     items: list
-    by_length: dict
-    repeats: int
-    keys: tuple
+    walked: dict
+    pairs: Pairs
 
     @staticmethod
     def build(rows: list[tuple]) -> Index:
         words, at = words_of([text for _, text in rows])
         kept = [(i, words[a:b]) for (i, _), a, b in zip(rows, at[:-1], at[1:]) if b - a >= MIN_WORDS]
         ids, items = [i for i, _ in kept], [w for _, w in kept]
-        by_length: dict[int, list[int]] = {}
+        repeats = repeats_by_length(items)
+        own: dict[int, list[int]] = {}
         for k, w in enumerate(items):
-            by_length.setdefault(len(w), []).append(k)
-        repeats = repeats_for(items)
-        sizes = np.array([len(w) for w in items], dtype=np.int64)
-        ends = np.cumsum(sizes)
-        flat = np.concatenate(items) if items else np.zeros(0, dtype=np.uint64)
-        own = walk_keys(flat, ends - sizes, ends, sizes, repeats).ravel()
-        order = np.argsort(own, kind="stable")
-        keys = own[order], order // max(1, repeats)
-        return Index(ids, items, by_length, repeats, keys)
+            own.setdefault(repeats[len(w)], []).append(k)
+        pairs = Pairs.build(items, own.pop(0, []))
+        walked = {}
+        for n, numbers in sorted(own.items()):
+            by_length: dict[int, list[int]] = {}
+            for k in numbers:
+                by_length.setdefault(len(items[k]), []).append(k)
+            sizes = np.array([len(items[k]) for k in numbers], dtype=np.int64)
+            ends = np.cumsum(sizes)
+            keys = walk_keys(np.concatenate([items[k] for k in numbers]), ends - sizes, ends, sizes, n).ravel()
+            order = np.argsort(keys, kind="stable")
+            walked[n] = by_length, keys[order], np.array(numbers)[order // n]
+        return Index(ids, items, walked, pairs)
+
+
+def repeats_by_length(items: list[np.ndarray]) -> dict[int, int]:
+    """Repetitions for each length of item; 0 where no number of them reaches the recall asked for."""
+    classes: dict[tuple, list[np.ndarray]] = {}
+    for item in items:
+        n = len(item)
+        classes.setdefault((0, n) if n < SINGLE_WORDS else (1, int(math.log(n, 1.25))), []).append(item)
+    out = {}
+    for own in classes.values():
+        lengths = {len(item) for item in own}
+        repeats = 0 if max(lengths) > WALKED_WORDS else repeats_for(own)
+        out.update(dict.fromkeys(lengths, repeats))
+    return out
 
 
-def repeats_for(items: list[np.ndarray], target: float = RECALL, most: int = MAX_REPEATS) -> int:
-    """Repetitions that find items changed as far as the limit allows, measured on changed copies of some items."""
+def repeats_for(items: list[np.ndarray], target: float = RECALL) -> int:
+    """Repetitions that find items changed as far as the limit allows, or 0; measured on copies of the longest items.
+
+    As in a search, a copy stands in other words, and its window begins with its first pair that is whole.
+    """
     rng = np.random.default_rng(11)
-    misses = np.zeros(most + 1)
-    trials = 0
-    for k in rng.permutation(len(items))[:24]:
-        item = items[k]
-        copies = [_changed(item, rng) for _ in range(8)]
-        flat = np.concatenate([item, *copies])
-        ends = np.cumsum([len(item), *map(len, copies)])
-        starts = ends - [len(item), *map(len, copies)]
-        own = walk_keys(flat, starts, ends, np.full(len(starts), len(item)), most)
-        hit = np.logical_or.accumulate(own[1:] == own[0], axis=1)
-        misses += np.concatenate([[len(copies)], (~hit).sum(axis=0)])
-        trials += len(copies)
-    enough = np.flatnonzero(misses <= (1 - target) * trials)
-    return int(enough[0]) if trials and len(enough) and enough[0] else most if trials else 1
+    sample = sorted(items, key=len, reverse=True)[:24]
+    misses = np.zeros(MAX_REPEATS)
+    each = -(-TRIALS // len(sample))
+    for item in sample:
+        copies = [_changed(item, rng) for _ in range(each)]
+        whole = [int(np.isin(runs(c, 2), runs(item, 2)).argmax()) for c in copies]
+        more = rng.integers(1 << 62, size=len(item)).astype(np.uint64)
+        parts = [item, *[np.concatenate([c, more]) for c in copies]]
+        ends = np.cumsum([len(p) for p in parts])
+        starts = ends - [len(p) for p in parts] + [0, *whole]
+        own = walk_keys(np.concatenate(parts), starts, ends, np.full(len(starts), len(item)), MAX_REPEATS)
+        misses += (~np.logical_or.accumulate(own[1:] == own[0], axis=1)).sum(axis=0)
+    return next((n for n in REPEATS if misses[n - 1] <= (1 - target) * each * len(sample)), 0)
 
 
 def _changed(item: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -162,45 +229,84 @@ class Finder:
 
     def __init__(self, index: Index):
         self.index = index
-        self.groups = []
+        self.groups: dict[int, list] = {n: [] for n in index.walked}
         self.grams = [runs(words, 2) for words in index.items]
-        lengths = sorted(index.by_length)
-        for low in range(0, len(lengths), CLASSES):
-            own = lengths[low : low + CLASSES]
-            grams = [np.concatenate([self.grams[k] for k in index.by_length[n]]) for n in own]
-            bits = max(16, math.ceil(math.log2(16 * sum(map(len, grams)))))
-            mask = np.uint64((1 << bits) - 1)
-            table = np.zeros(1 << bits, dtype=np.uint64)
-            for c, g in enumerate(grams):
-                table[(g & mask).astype(np.int64)] |= np.uint64(1 << c)
-            self.groups.append((own, table, mask))
-
-    def candidates(self, words: np.ndarray, ends: np.ndarray) -> set[tuple[int, int]]:
+        for n, (by_length, _, _) in index.walked.items():
+            lengths = sorted(by_length)
+            for low in range(0, len(lengths), CLASSES):
+                own = lengths[low : low + CLASSES]
+                grams = [np.concatenate([self.grams[k] for k in by_length[length]]) for length in own]
+                bits = max(16, math.ceil(math.log2(16 * sum(map(len, grams)))))
+                mask = np.uint64((1 << bits) - 1)
+                table = np.zeros(1 << bits, dtype=np.uint64)
+                for c, g in enumerate(grams):
+                    table[(g & mask).astype(np.int64)] |= np.uint64(1 << c)
+                self.groups[n].append((own, table, mask))
+
+    def walked(self, grams: np.ndarray, words: np.ndarray, ends: np.ndarray) -> set[tuple[int, int]]:
         """(window start, item) pairs whose keys meet; `ends` holds the end of each word's text.
 
         A window is looked at only if enough of its word pairs occur in some item of its length. An edit
         breaks two pairs of an item at most, so no window within the limit is left out; it is taken from
         the first pair that is whole.
         """
-        grams = runs(words, 2)
         inside = ends[:-1] == ends[1:]
-        starts, lengths = [], []
-        for own, table, mask in self.groups:
-            classes = table[(grams & mask).astype(np.int64)]
-            some = np.flatnonzero((classes != 0) & inside)
-            classes = classes[some]
-            for c, n in enumerate(own):
-                known = some[(classes >> np.uint64(c)) & np.uint64(1) == 1]
-                upto = np.searchsorted(known, np.minimum(known + n, ends[known]) - 1)
-                starts.append(known[upto - np.arange(len(known)) >= n - 1 - 2 * (n * EDIT_PERCENT // 100)])
-                lengths.append(np.full(len(starts[-1]), n))
-        at, size = np.concatenate(starts), np.concatenate(lengths)
-        keys, items = self.index.keys
-        own = walk_keys(words, at, ends[at], size, self.index.repeats)
-        low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
         pairs = set()
-        for w, r in zip(*np.nonzero(low < high)):
-            pairs.update((int(at[w]), int(item)) for item in items[low[w, r] : high[w, r]])
+        for repeats, (_, keys, items) in self.index.walked.items():
+            starts, lengths = [], []
+            for own, table, mask in self.groups[repeats]:
+                classes = table[(grams & mask).astype(np.int64)]
+                some = np.flatnonzero((classes != 0) & inside)
+                classes = classes[some]
+                for c, n in enumerate(own):
+                    known = some[(classes >> np.uint64(c)) & np.uint64(1) == 1]
+                    upto = np.searchsorted(known, np.minimum(known + n, ends[known]) - 1)
+                    starts.append(known[upto - np.arange(len(known)) >= n - 1 - 2 * (n * EDIT_PERCENT // 100)])
+                    lengths.append(np.full(len(starts[-1]), n))
+            at, size = np.concatenate(starts), np.concatenate(lengths)
+            own = walk_keys(words, at, ends[at], size, repeats)
+            low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+            for w, r in zip(*np.nonzero(low < high)):
+                pairs.update((int(at[w]), int(item)) for item in items[low[w, r] : high[w, r]])
+        return pairs
+
+    def paired(self, grams: np.ndarray, at: np.ndarray) -> set[tuple[int, int]]:
+        """(start, item) of every part of a text that holds enough of an item's rare pairs; `at` borders the texts.
+
+        A pair that edits leave whole stands as far behind the part's start as in the item, give or take the
+        words put in and taken out before it. So pairs that belong together have starts that differ by the
+        limit at most, and no part within the limit is left out.
+        """
+        rare = self.index.pairs
+        pairs: set[tuple[int, int]] = set()
+        if not len(rare.hash) or not len(grams):
+            return pairs
+        low = np.searchsorted(rare.hash, grams, "left")
+        met = np.searchsorted(rare.hash, grams, "right") - low
+        met[at[1:-1][(at[1:-1] > 0) & (at[1:-1] <= len(met))] - 1] = 0
+        total = np.concatenate([[0], np.cumsum(met), [met.sum()]])
+        texts, first = len(at) - 1, 0
+        while first < texts:
+            last = int(np.searchsorted(total[at], total[at[first]] + MEETINGS, side="right")) - 1
+            last = min(texts, max(last, first + 1))
+            some = np.flatnonzero(met[at[first] : at[last]]) + at[first]
+            first = last
+            if not len(some):
+                continue
+            word = np.repeat(some, met[some])
+            nth = np.arange(len(word)) - np.repeat(np.cumsum(met[some]) - met[some], met[some])
+            pair = np.repeat(low[some], met[some]) + nth
+            item, text = rare.item[pair], np.searchsorted(at, word, side="right") - 1
+            start = word - rare.place[pair]
+            order = np.lexsort((start, text, item))
+            item, text, start = item[order], text[order], start[order]
+            until = np.arange(len(item)) + rare.need[item] - 1
+            fits = np.flatnonzero(until < len(item))
+            until = until[fits]
+            limit = np.array([len(w) * EDIT_PERCENT // 100 for w in self.index.items])[item[fits]]
+            fits = fits[(item[until] == item[fits]) & (text[until] == text[fits]) & (start[until] - start[fits] <= limit)]
+            middle = fits + rare.need[item[fits]] // 2
+            pairs.update(zip(np.maximum(start[middle], at[text[middle]]).tolist(), item[middle].tolist()))
         return pairs
 
     def find(self, texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
@@ -210,13 +316,15 @@ class Finder:
             return []
         ends = np.repeat(at[1:], np.diff(at))
         found, done = [], {}
-        for start, item in sorted(self.candidates(words, ends)):
+        grams = runs(words, 2)
+        for start, item in sorted(self.walked(grams, words, ends) | self.paired(grams, at)):
             own = int(np.searchsorted(at, start, side="right")) - 1
             query = self.index.items[item]
             limit = len(query) * EDIT_PERCENT // 100
-            if start < done.get((own, item), -1):
+            before = done.get((own, item), int(at[own]))
+            if start + limit < before:
                 continue
-            low, high = max(int(at[own]), start - limit), min(int(at[own + 1]), start + len(query) + limit)
+            low, high = max(before, start - limit), min(int(at[own + 1]), start + len(query) + 2 * limit)
             text = words[low:high]
             if np.isin(self.grams[item], runs(text, 2)).sum() < len(query) - 1 - 2 * limit:
                 continue
@@ -250,8 +358,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     within one word edit for each five words of the item. Items of fewer than five words, and null texts
     on either side, take no part; empty tables give an empty result; a null doc_id stays null. Rows that
     repeat are searched each for itself. Whole texts are searched. The number of repetitions is measured
-    for a recall of 0.97 at the largest distance allowed; nearer copies are found more surely, exact ones
-    always. The benchmark goes to the tasks in passes of at most 16 million characters.
+    by length for a recall of 0.97 at the largest distance allowed; nearer copies are found more surely, exact
+    ones always. For lengths at which no number of them reaches it, every part of a text that holds enough of
+    an item's word pairs is verified, which misses none. The benchmark goes to the tasks in passes of at most 16 million characters.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, item_id long, first_word long, end_word long, distance long, item_words long"

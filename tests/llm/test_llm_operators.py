@@ -290,6 +290,26 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert decontaminate.drop_leaks(docs_of(spark, rows), bench.limit(0)).count() == len(rows)
 
 
+@pytest.mark.parametrize("size", [12, 30, 50, 100, 200, 400])
+def test_leaks_of_long_items_at_the_largest_distance(size):
+    rng = random.Random(size)
+    short = [(1000 + k, prose(rng, 12)) for k in range(60)]
+    items = [(k, " ".join(rng.choices(WORDS, k=size))) for k in range(10)]
+    finder = decontaminate.Finder(decontaminate.Index.build([(k, t.encode()) for k, t in [*items, *short]]))
+    texts, planted = [], []
+    for k, (_, text) in enumerate(items * 4):
+        words = text.split()
+        for _ in range(size // 5):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice([[f"new{rng.randrange(10**6)}"], [], [words[at], f"in{rng.randrange(10**6)}"]])
+        texts.append(" ".join([prose(rng, k), *words, prose(rng, 30), *(text.split() if k == 0 else [])]))
+        planted.append((k, k % 10))
+    found = finder.find([t.encode() for t in texts])
+    got = {(d, i) for d, i, *_ in found}
+    assert got <= set(planted) and len(got) >= 0.95 * len(planted)
+    assert (0, 0, 0) in {(d, i, distance) for d, i, _, _, distance in found} and len([f for f in found if f[0] == 0]) == 2
+
+
 # --- chat formatting -----------------------------------------------------------------------------------------
 
 
