@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +32,12 @@ NOTICES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
+#: Full licence texts, with which whole files are compared.
+TEXTS = tuple((p.stem, p.read_text(encoding="utf-8")) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")))
+
 MIN_COSINE = 0.75
+#: Share of a full text's squared length that its light terms make up.
+LIGHT = 0.1
 #: Share of a file's words from which its notice makes it a licence file, which speaks for its directory.
 FILE_SHARE = 0.5
 WORD = r"[a-z0-9]+(?:[.][0-9]+)*"
@@ -42,7 +49,7 @@ def words(text: Column) -> Column:
 
 def _idf(files: DataFrame, vocabulary: list[str]) -> tuple[dict[str, float], float]:
     """Inverse document frequency of the notices' terms over all files, and that of a term never seen."""
-    known = F.array(*[F.lit(t) for t in vocabulary])
+    known = F.split(F.lit(" ".join(vocabulary)), " ")
     found = files.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect(words(F.col("text")), known))).alias("term"))
     counts = {r.term: r["count"] for r in found.groupBy("term").count().collect()}
     total = counts.get("", 0)
@@ -67,13 +74,88 @@ def _telling(vectors: list[dict[str, float]], cosine: float) -> list[str]:
     return sorted(telling)
 
 
-def scan(files: DataFrame, notices: tuple = NOTICES, min_cosine: float = MIN_COSINE) -> DataFrame:
+def _vectors(plain: list[Counter], idf: dict[str, float]) -> list[dict[str, float]]:
+    """TF-IDF vectors of length one."""
+    out = []
+    for terms in plain:
+        own = {t: n * idf[t] for t, n in terms.items()}
+        length = math.sqrt(sum(w * w for w in own.values()))
+        out.append({t: w / length for t, w in own.items()})
+    return out
+
+
+def _levels(vector: dict[str, float]) -> tuple[list[tuple[list[str], float]], float]:
+    """A template's heavy terms in levels of like weight, with the largest squared weight of each, and the rest's sum.
+
+    Whatever a text holds, its squared cosine is at most the sum of the squared weights of the terms it holds.
+    """
+    rest, levels = 1.0, []
+    for term, w in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+        if rest <= LIGHT:
+            break
+        if not levels or w * w < 0.6 * levels[-1][1]:
+            levels.append(([], w * w))
+        levels[-1][0].append(term)
+        rest -= w * w
+    return levels, rest
+
+
+def _near_texts(base: DataFrame, vectors: list[dict[str, float]], idf: dict[str, float], unseen: float, cosine: float) -> DataFrame:
+    """Whole files near a full text: path, text_key, notice (the text's number), cosine.
+
+    Only files whose terms can reach the cosine, by the weights of a text's terms that they hold, are split into words.
+    """
+
+    def array(terms) -> Column:
+        return F.split(F.lit(" ".join(sorted(terms))), " ")
+
+    spark = base.sparkSession
+    split = [_levels(v) for v in vectors]
+    heavy = {t for levels, _ in split for terms, _ in levels for t in terms}
+
+    def enough(held: Column) -> Column:
+        tests = [
+            reduce(Column.__add__, [F.size(F.array_intersect(held, array(t))) * F.lit(w) for t, w in levels]) >= cosine**2 - rest - 1e-9
+            for levels, rest in split
+        ]
+        return reduce(Column.__or__, tests)
+
+    # One element, so that the words are looked up once for all tests.
+    near = F.exists(F.array(F.array_intersect(words(F.col("text")), array(heavy))), enough)
+    weights = spark.createDataFrame([(t, float(w)) for t, w in idf.items()], "term string, idf double")
+    shares = spark.createDataFrame(
+        [(t, k, float(w)) for k, v in enumerate(vectors) for t, w in v.items()], "term string, notice int, share double"
+    )
+    key = ["path", "text_key"]
+    counted = (
+        base.where(near)
+        .select(*key, F.explode(words(F.col("text"))).alias("term"))
+        .groupBy(*key, "term")
+        .count()
+        .join(F.broadcast(weights), "term", "left")
+        .withColumn("w", F.col("count") * F.coalesce("idf", F.lit(float(unseen))))
+    )
+    one = counted.groupBy(*key).agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"), F.collect_list(F.struct("term", "w")).alias("terms")
+    )
+    return (
+        one.select(*key, "length", F.inline("terms"))
+        .join(F.broadcast(shares), "term")
+        .groupBy(*key, "length", "notice")
+        .agg(F.sum(F.col("w") * F.col("share")).alias("dot"))
+        .select(*key, "notice", F.round(F.col("dot") / F.col("length"), 9).alias("cosine"))
+        .where(F.col("cosine") >= cosine)
+    )
+
+
+def scan(files: DataFrame, notices: tuple = NOTICES, min_cosine: float = MIN_COSINE, texts: tuple = TEXTS) -> DataFrame:
     """The licence of each file: its own notice, else that of the nearest licence file above it.
 
-    `files` has path and text; other columns are carried along. Adds licence, cosine (of the own notice, else
-    null) and inherited_from (the directory, if inherited). Passages are paragraphs, lines and sentences of the
-    whole text, compared with the notices by TF-IDF cosine; term counts come from all files. A file whose notice
-    makes up half of its words or more speaks for its directory and all below. Ties go to the notice listed
+    `files` has path and text; other columns are carried along. Adds licence, cosine (of the own notice
+    or text, else null) and inherited_from (the directory, if inherited). Passages are paragraphs, lines and sentences of the
+    whole text, compared with the notices by TF-IDF cosine; whole files are compared with full licence texts, and
+    one that is near decides before a passage does. Term counts come from all files. A file near a full text, or
+    whose notice makes up half of its words or more, speaks for its directory and all below. Ties go to the notice listed
     first, then to the smallest path. Null texts hold nothing; a null path inherits nothing; rows that repeat
     get the same answer; an empty table gives an empty result. A carried column named like an added one is
     replaced.
@@ -83,12 +165,10 @@ def scan(files: DataFrame, notices: tuple = NOTICES, min_cosine: float = MIN_COS
     base = files.select(*carried, F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
     base = base.withColumn("text_key", F.xxhash64("text"))
     plain = [Counter(re.findall(WORD, text.lower())) for _, text in notices]
-    idf, unseen = _idf(base, sorted(set().union(*plain)))
-    vectors = []
-    for terms in plain:
-        own = {t: n * idf[t] for t, n in terms.items()}
-        length = math.sqrt(sum(w * w for w in own.values()))
-        vectors.append({t: w / length for t, w in own.items()})
+    plain_texts = [Counter(re.findall(WORD, text.lower())) for _, text in texts]
+    every, unseen = _idf(base, sorted(set().union(*plain, *plain_texts)))
+    idf = {t: every[t] for t in sorted(set().union(*plain))}
+    vectors = _vectors(plain, idf)
     spark = files.sparkSession
     weights = spark.createDataFrame([(t, float(w)) for t, w in idf.items()], "term string, idf double")
     templates = spark.createDataFrame(
@@ -117,15 +197,16 @@ def scan(files: DataFrame, notices: tuple = NOTICES, min_cosine: float = MIN_COS
         .withColumn("cosine", F.round(F.col("dot") / F.col("length"), 9))
         .where(F.col("cosine") >= min_cosine)
     )
-    names = F.array(*[F.lit(n) for n, _ in notices])
-    best = F.max(F.struct("cosine", (-F.col("notice")).alias("order"), (F.col("n_words") / F.col("file_words")).alias("part")))
-    own = stage(
-        dots.groupBy("path", "text_key")
-        .agg(best.alias("b"))
-        .select(
-            "path", "text_key", F.get(names, -F.col("b.order")).alias("own"), F.col("b.cosine").alias("cosine"), F.col("b.part").alias("part")
-        )
-    )
+    def named(found: DataFrame, whole: bool, part: Column, listed: tuple) -> DataFrame:
+        names = F.array(*[F.lit(n) for n, _ in listed])
+        rank = [F.lit(whole).alias("whole"), "cosine", (-F.col("notice")).alias("order"), part.alias("part")]
+        return found.select("path", "text_key", F.struct(*rank, F.get(names, F.col("notice")).alias("own")).alias("b"))
+
+    ranked = named(dots, False, F.col("n_words") / F.col("file_words"), notices)
+    if texts:
+        near_texts = _near_texts(base, _vectors(plain_texts, every), every, unseen, min_cosine)
+        ranked = ranked.unionByName(named(near_texts, True, F.lit(1.0), texts))
+    own = stage(ranked.groupBy("path", "text_key").agg(F.max("b").alias("b")).select("path", "text_key", "b.own", "b.cosine", "b.part"))
     folder = folder_of(F.col("path"))
     spoken = (
         own.where(F.col("path").isNotNull() & (F.col("part") >= FILE_SHARE))

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import string
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -528,6 +529,23 @@ def test_licences_and_inheritance(spark):
     assert licences.scan(df.limit(0)).count() == 0
 
 
+def test_full_licence_texts_speak_for_their_directory(spark):
+    rng = random.Random(23)
+    files, want = [], {}
+    for name, text in licences.TEXTS:
+        wrapped = "\n\n".join("\n".join(textwrap.wrap(p, 76)) for p in re.split(r"\n\s*\n", text))
+        for k, own in enumerate((text, wrapped, " ".join(text.split()))):
+            want[f"{name}{k}/LICENSE"] = name, None
+            want[f"{name}{k}/src/x.py"] = name, f"{name}{k}"
+            files += [(f"{name}{k}/LICENSE", f"Copyright (c) 2020 Some Body\n\n{own}"), (f"{name}{k}/src/x.py", prose(rng, 40))]
+    files += [(f"z/{k}.py", prose(rng, 100)) for k in range(50)]
+    df = spark.createDataFrame(files, "path string, text string")
+    got = {r.path: (r.licence, r.inherited_from) for r in licences.scan(df).collect()}
+    assert {p: got[p] for p in want} == want
+    assert all(got[f"z/{k}.py"] == (None, None) for k in range(50))
+    assert licences.scan(df.limit(0)).count() == 0
+
+
 def brute_licences(files):
     """Best cosine of each file over all of its passages, without leaving any out beforehand."""
     token = re.compile(licences.WORD)
