@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm import chat, licences, pii, urls, warc
+from forumlens.llm import chat, licences, periods, pii, urls, warc
 from forumlens.llm.common import read
 from forumlens.llm.decontaminate import find_leaks
 from forumlens.llm.minhash import near_duplicates
 from forumlens.llm.packing import digests, pack
 from forumlens.llm.quality import judge, train
+from forumlens.llm.resampling import resample
 from forumlens.llm.spans import remove_repeats
+from forumlens.llm.token_counts import count_tokens
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +75,18 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(pack(read(spark, sf_dir, "documents")))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(periods.periodic_runs(periods.plant_periods(read(spark, sf_dir, "documents"))))
+
+
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_urls": op2_urls,
@@ -84,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_pii": op10_pii,
+    "op11_resampling": op11_resampling,
+    "op12_periods": op12_periods,
+    "op13_tokens": op13_tokens,
 }
 
 _ESCAPED = r"regexp_replace({0}, '(<|\[)(\\*)(/?s>|/?SYS>|/?INST\]|\|)', '\1\\\2\3', 'g')"
