@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from forumlens.plans import behaviour, given, language, models, tables  # noqa: F401
+from forumlens.plans import behaviour, given, language, models, tables, threads  # noqa: F401
 from forumlens.plans.registry import CATALOG
 
 __all__ = ["CATALOG"]

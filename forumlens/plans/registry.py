@@ -25,7 +25,7 @@ CATALOG: dict[str, Query] = {}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
-    """Register a plan. `{meta}` and `{posts}` in the SQL stand for the CTEs of the derived posts."""
+    """Register a plan. `{meta}`, `{posts}` and `{threads}` in the SQL stand for the CTEs of the derived posts."""
 
     def register(plan: Plan) -> Plan:
         if name in CATALOG:
@@ -36,7 +36,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Plan], Plan]:
 
         text = sql
         if text is not None:
-            text = text.replace("{meta}", sample_tables.META_SQL).replace("{posts}", sample_tables.POSTS_SQL).strip()
+            text = text.replace("{meta}", sample_tables.META_SQL).replace("{posts}", sample_tables.POSTS_SQL)
+            text = text.replace("{threads}", sample_tables.THREADS_SQL).strip()
         CATALOG[name] = Query(name, run, text)
         return plan
 

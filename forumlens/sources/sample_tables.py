@@ -28,6 +28,10 @@ PHRASES = [
     "learn with a tutorial",
 ]
 MONTH_SECONDS = 2592000
+# Threads: a comment answers one of the three events before it. Some parents are missing, and some comments answer the
+# event after them, which makes a few circles.
+ANSWER = """CASE WHEN event_id % 1009 = 5 THEN event_id + 1 WHEN event_id % 10 = 1 THEN event_id - 1
+  ELSE event_id - 1 - event_id % 3 END"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +55,10 @@ COMMUNITY = _sql_case("event_id % 31", {17 + i: n for i, n in enumerate(COMMUNIT
 PHRASE = _sql_case("event_id % 12", {i: f" {p}" for i, p in enumerate(PHRASES)}, "")
 TITLE_START = "CASE event_id % 5 WHEN 0 THEN 'How ' WHEN 1 THEN 'Why ' ELSE '' END"
 TITLE_END = "CASE WHEN event_id % 3 = 0 THEN '?' WHEN event_id % 7 = 0 THEN '!' ELSE '' END"
+TITLE = f"{TITLE_START} || repeat(head || ' ', CAST(1 + event_id % 6 AS INT)) || {TITLE_END}"
+NAME = "CASE WHEN data_type = 'submission' THEN 't3_p' ELSE 't1_p' END || event_id"
+PARENT = """CASE WHEN data_type = 'comment' THEN CASE WHEN event_id % 211 = 7 OR to_submission IS NULL THEN 't1_gone'
+  WHEN to_submission THEN 't3_p' || answered ELSE 't1_p' || answered END END"""
 BODY = f"""CASE WHEN event_id % 17 = 0 THEN '[removed]' ELSE text || {PHRASE}
   || CASE WHEN event_id % 6 = 0 THEN ' https://ex.org/a?b=1' ELSE '' END
   || CASE WHEN event_id % 8 = 0 THEN ' [label](http://l.org)' ELSE '' END
@@ -77,6 +85,23 @@ def posts_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).selectExpr("*", "to_date(timestamp_seconds(created_utc)) AS date")
 
 
+def thread_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts under unique full names with nested replies, and the submissions' titles; no document texts."""
+    meta = posts_meta(spark, sf_dir)
+    kinds = table(spark, sf_dir, "events").selectExpr("event_id AS answered", f"{IS_SUBMISSION} AS to_submission")
+    pages = table(spark, sf_dir, "pages").selectExpr("page_id", "regexp_extract(html, '<title>([^<]*)</title>', 1) AS head")
+    n_pages = pages.agg(F.count(F.lit(1))).scalar()
+    numbered = meta.select("*", F.expr(ANSWER).alias("answered"), (F.col("event_id") % n_pages).alias("page_id"))
+    return (
+        numbered.join(kinds, "answered", "left")
+        .join(pages, "page_id", "left")
+        .selectExpr(
+            "event_id", f"{NAME} AS name", f"{PARENT} AS parent_name", "data_type", "subreddit", "author", "score", "created_utc",
+            f"CASE WHEN data_type = 'submission' THEN {TITLE} END AS title",
+        )
+    )
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns of the unified posts."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -172,3 +197,12 @@ posts AS (
   JOIN documents d ON d.doc_id = m.event_id % (SELECT count(*) FROM documents)
   JOIN pages p ON p.page_id = m.event_id % (SELECT count(*) FROM pages)
 )"""
+
+THREADS_SQL = f"""{META_SQL},
+threads AS (
+  SELECT m.event_id, {NAME} AS name, {PARENT} AS parent_name, data_type, subreddit, author, score, created_utc,
+    CASE WHEN data_type = 'submission' THEN {TITLE.replace('head', "regexp_extract(p.html, '<title>([^<]*)</title>', 1)")} END AS title
+  FROM (SELECT *, {ANSWER} AS answered FROM meta) m
+  LEFT JOIN (SELECT event_id AS answered, {IS_SUBMISSION} AS to_submission FROM events) k USING (answered)
+  LEFT JOIN pages p ON p.page_id = m.event_id % (SELECT count(*) FROM pages)
+)"""
