@@ -258,6 +258,38 @@ def given_regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.regression_table(_predictions(spark, sf).withColumnRenamed("value", "prediction"))
 
 
+LADDER_SQL = """steps AS (SELECT value + CAST(score AS DOUBLE) / 4 AS score, count(*) FILTER (label_binary = 1) AS p, count(*) FILTER (label_binary = 0) AS n
+      FROM p WHERE label_binary IS NOT NULL AND value + score IS NOT NULL GROUP BY ALL),
+    ladder AS (SELECT *, CAST(sum(p) OVER w AS BIGINT) AS p_upto, CAST(sum(n) OVER w AS BIGINT) AS n_upto FROM steps WINDOW w AS (ORDER BY score DESC))"""
+
+
+def _ladder(spark: SparkSession, sf: str) -> DataFrame:
+    p = _predictions(spark, sf).withColumn("guess", F.col("value") + F.col("score").cast("double") / 4)
+    return evaluate.score_ladder(p, "guess")
+
+
+@query("given_score_ladder", f"WITH {{meta}}, {RULES_SQL}, {LADDER_SQL} SELECT * FROM ladder")
+def given_score_ladder(spark: SparkSession, sf: str) -> DataFrame:
+    return _ladder(spark, sf)
+
+
+# The ROC area as the mean rank of the positives, the other one from the curve's points.
+@query(
+    "given_binary_areas",
+    f"""WITH {{meta}}, {RULES_SQL}, {LADDER_SQL}, ranked AS (
+      SELECT label_binary, avg(row) OVER (PARTITION BY score) AS mean_rank FROM (
+        SELECT label_binary, value + score / 4 AS score, row_number() OVER (ORDER BY value + score / 4) AS row FROM p)),
+    points AS (SELECT score, p, p_upto / (p_upto + n_upto) AS pr, lag(p_upto / (p_upto + n_upto)) OVER (ORDER BY score DESC) AS pr_before FROM ladder),
+    t AS (SELECT sum(p) AS ps, sum(n) AS ns FROM steps)
+    SELECT CAST(ps AS BIGINT) AS n_positive, CAST(ns AS BIGINT) AS n_negative,
+      round(((SELECT sum(mean_rank) FROM ranked WHERE label_binary = 1) - ps * (ps + 1) / 2) / (ps * ns), 6) AS roc_auc,
+      round((SELECT sum(p * (pr + coalesce(pr_before, pr)) / 2) FROM points) / ps, 6) AS pr_auc
+    FROM t""",
+)
+def given_binary_areas(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.ladder_areas(_ladder(spark, sf))
+
+
 @query(
     "given_extremes",
     """WITH {meta}, c AS (SELECT subreddit AS feature, avg(score) AS coefficient FROM meta GROUP BY subreddit)
