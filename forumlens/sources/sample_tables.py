@@ -68,7 +68,12 @@ BODY = f"""CASE WHEN event_id % 17 = 0 THEN '[removed]' ELSE text || {PHRASE}
 
 def posts_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Post columns that need no text: no join, and only the event columns used are read."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return meta_of(table(spark, sf_dir, "events"))
+
+
+def meta_of(events: DataFrame) -> DataFrame:
+    """Events, a table or a stream of them, as posts without text."""
+    return events.selectExpr(
         "event_id",
         f"CASE WHEN {IS_SUBMISSION} THEN 'submission' ELSE 'comment' END AS data_type",
         f"'p' || {SAME_ID} AS id",
