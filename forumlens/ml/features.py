@@ -14,7 +14,6 @@ from pyspark.ml.feature import (
     StandardScaler,
     StringIndexer,
     VectorAssembler,
-    Word2Vec,
 )
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -121,30 +120,16 @@ def engagement_stages(vocab_size: int = 8000, min_df: float = 50) -> list:
     ]
 
 
-#: Partitions that Word2Vec trains on side by side; part of the model's definition, whatever the cluster.
-EMBEDDING_PARTITIONS = 8
+def dealt(df: DataFrame, rows_each: int = 20_000, least: int = 8) -> DataFrame:
+    """Rows dealt by a hash of the id to partitions of about `rows_each`, in a fixed order: the same ones on any cluster."""
+    partitions = max(least, -(-df.count() // rows_each))
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "long", "integer", "double")]
+    return df.repartition(partitions, "id").sortWithinPartitions("id", F.xxhash64(*plain))
 
 
-def dealt(df: DataFrame, partitions: int = EMBEDDING_PARTITIONS) -> DataFrame:
-    """Rows dealt to a fixed number of partitions by a hash of the id, in a fixed order."""
-    return df.repartition(partitions, "id").sortWithinPartitions("id", F.xxhash64(*df.columns))
-
-
-def embedding_stages(
-    size: int = 100, min_count: int = 20, seed: int = 42, partitions: int = EMBEDDING_PARTITIONS
-) -> list:
-    """Mean word embedding, topics, one-hot time and surface features in one vector.
-
-    Word2Vec trains one model per partition and averages them, so their number belongs to the model: with it
-    fixed and the rows `dealt`, the parts are the same on any cluster. More partitions let more tasks train,
-    each on fewer sentences. MLlib's tasks change shared weights in place, so tasks that run in one executor
-    still disturb one another; only `partitions=1`, one task for all sentences, repeats to the last digit.
-    """
+def embedding_stages(embedding: str = "mean_vector") -> list:
+    """Mean word vector, topics, one-hot time and surface features in one vector."""
     return [
-        Word2Vec(
-            inputCol="words_clean", outputCol="w2v_features", vectorSize=size, minCount=min_count, maxIter=5,
-            seed=seed, numPartitions=partitions,
-        ),
         StringIndexer(
             inputCols=["day_of_week", "hour"], outputCols=["day_of_week_idx", "hour_idx"], handleInvalid="keep",
             stringOrderType="alphabetAsc",
@@ -154,7 +139,7 @@ def embedding_stages(
         ),
         VectorAssembler(
             inputCols=[
-                "w2v_features", "topicDistribution", "day_of_week_oh", "hour_oh", "text_length_log",
+                embedding, "topicDistribution", "day_of_week_oh", "hour_oh", "text_length_log",
                 "has_question", "has_url", "exclamation_count", "uppercase_ratio",
             ],
             outputCol="features",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from forumlens import vocab
 from forumlens.functions import text
 from forumlens.ml import balance as bal
-from forumlens.ml import classify, evaluate, features, regress, segment
+from forumlens.ml import classify, embedding, evaluate, features, regress, segment
 from forumlens.operators import text as tx
 from forumlens.operators import topics as tp
 from forumlens.plans.registry import query
@@ -250,6 +250,31 @@ def score_lasso_coefficients(spark: SparkSession, sf: str) -> DataFrame:
     return regress.coefficient_blocks(_lasso(spark, sf)[0.1])
 
 
+# --- word vectors ------------------------------------------------------------------------------
+
+#: Words of the pairs that the query reports; the model's limit is a parameter of the same kind.
+PAIRED_WORDS = 300
+PMI_SQL = f"""t AS (SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS pos FROM (
+      SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[^a-z]+') AS words FROM documents)
+    ) JOIN (SELECT word FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS word FROM documents) WHERE word <> ''
+      GROUP BY word HAVING count(*) >= 20 ORDER BY count(*) DESC, word LIMIT {PAIRED_WORDS}) USING (word)),
+    near AS (SELECT a.word AS a, b.word AS b FROM t a JOIN t b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos + 1 AND a.pos + 5),
+    c AS (SELECT a, b, count(*) AS n FROM (SELECT a, b FROM near UNION ALL SELECT b, a FROM near) GROUP BY ALL),
+    r AS (SELECT a, sum(n) AS total FROM c GROUP BY a),
+    pmi AS (SELECT c.a, c.b, ln(n * (SELECT sum(total) FROM r) / (r.total * q.total)) AS pmi FROM c JOIN r ON r.a = c.a JOIN r q ON q.a = c.b)"""
+
+
+@query("word_associations", f"WITH {PMI_SQL} SELECT a AS word, b AS other, round(pmi, 6) AS pmi FROM pmi WHERE pmi > 0")
+def word_associations(spark: SparkSession, sf: str) -> DataFrame:
+    docs = st.table(spark, sf, "documents").where(F.col("text").isNotNull())
+    tokens = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "")
+    docs = stage(docs.select(tokens.alias("tokens")))
+    words = embedding.vocabulary(docs, "tokens", 20, PAIRED_WORDS)
+    named = F.array(*[F.lit(w) for w in words])
+    pmi = embedding.positive_pmi(embedding.cooccurrences(docs, "tokens", words))
+    return pmi.select(F.get(named, F.col("a").cast("int")).alias("word"), F.get(named, F.col("b").cast("int")).alias("other"), "pmi")
+
+
 @query("score_gbt")
 def score_gbt(spark: SparkSession, sf: str) -> DataFrame:
     posts = features.log_score_features(_engagement_posts(spark, sf, (vocab.POLITICAL_COMMUNITY,)))

@@ -167,8 +167,7 @@ def test_embedding_rows_are_dealt_alike_whatever_the_input_layout(spark):
     df = themed(spark).withColumn("words_clean", F.col("tokens")).select("id", "words_clean")
     layouts = (df.repartition(3), df.coalesce(1), df.repartition(11, "words_clean"))
     found = [[[r["id"] for r in part] for part in features.dealt(x).rdd.glom().collect()] for x in layouts]
-    assert found[0] == found[1] == found[2] and len(found[0]) == features.EMBEDDING_PARTITIONS
-    assert features.embedding_stages(size=4)[0].getNumPartitions() == features.EMBEDDING_PARTITIONS
+    assert found[0] == found[1] == found[2] and len(found[0]) == 8
 
 
 def test_user_segments(topic_model):
