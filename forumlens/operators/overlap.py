@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens import vocab
+from forumlens.session import stage
 
 WORD_BITS = 62
 
@@ -79,3 +80,64 @@ def top_pairs(pairs: DataFrame, n: int = 25) -> DataFrame:
         .orderBy(F.desc("shared_authors"), "sub_1", "sub_2")
         .limit(n)
     )
+
+
+#: Communities of one author that meet all others of the author in one group.
+BLOCK = 200
+
+
+def _meeting(members: DataFrame, block: int | None = None) -> DataFrame:
+    """Distinct pairs `sub_1 < sub_2` of communities with a common author among `members` (subreddit, author, spread).
+
+    `spread` is the number of the author's communities. The communities of an author in very many are dealt to blocks, and
+    each block meets all of them, so an author's pairs are made by as many groups as there are blocks.
+    """
+    parts = F.ceil(F.col("spread") / (block or BLOCK)).cast("int")
+    right = members.select("author", F.col("subreddit").alias("sub_2"), F.pmod(F.xxhash64("subreddit"), parts).alias("block"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))
+    left = members.select("author", F.col("subreddit").alias("sub_1"), every.alias("block"))
+    return left.join(right, ["author", "block"]).where("sub_1 < sub_2").select("sub_1", "sub_2").distinct()
+
+
+def similar_communities(posts: DataFrame, min_jaccard: float = 0.1, min_shared: int = 1) -> DataFrame:
+    """All pairs of communities with at least `min_shared` authors in common and a Jaccard similarity of at least `min_jaccard`.
+
+    Returns sub_1 < sub_2, shared_authors and jaccard; communities are not listed anywhere. A similarity join with a prefix
+    filter: authors are put in one order, those of few communities first. Two similar sets must share an author among the
+    first of each, as many as could be missed and one more, so only these are matched; authors of very many communities
+    stand at the end and rarely count. A set's first authors are cut by a histogram of their spreads, a few rows a set,
+    which takes some more but sorts no set. What is left is counted exactly, through the smaller set of a pair.
+    """
+    members = stage(author_communities(posts).where(F.col("subreddit").isNotNull()))
+    spread = members.groupBy("author").agg(F.count(F.lit(1)).alias("spread"))
+    members = stage(members.join(spread, "author"))
+    by_spread = members.groupBy("subreddit", "spread").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("subreddit").orderBy("spread")
+    placed = by_spread.select(
+        "subreddit", "spread",
+        (F.sum("n").over(order) - F.col("n")).alias("before"),
+        F.sum("n").over(Window.partitionBy("subreddit")).alias("size"),
+    )
+    # A similar set shares at least this many authors; the first authors are all but as many, and one more.
+    needed = F.greatest(F.ceil(F.col("size") * F.lit(min_jaccard) - 1e-9), F.lit(min_shared), F.lit(1))
+    cuts = placed.where(F.col("before") < F.col("size") - needed + 1)
+    sizes = stage(by_spread.groupBy("subreddit").agg(F.sum("n").alias("size")))
+    first = members.where(F.col("spread") > 1).join(cuts.select("subreddit", "spread"), ["subreddit", "spread"])
+
+    met = _meeting(first)
+    for side in ("1", "2"):
+        met = met.join(sizes.select(F.col("subreddit").alias(f"sub_{side}"), F.col("size").alias(f"size_{side}")), f"sub_{side}")
+    small, large = F.least("size_1", "size_2"), F.greatest("size_1", "size_2")
+    near = stage(met.where((small >= large * F.lit(min_jaccard) - 1e-9) & (small >= min_shared)))
+
+    # The smaller set's authors are looked for in the larger set: the key is (community, author), of which there is one row.
+    from_first = F.col("size_1") <= F.col("size_2")
+    sides = near.select("*", F.when(from_first, F.col("sub_1")).otherwise(F.col("sub_2")).alias("subreddit"),
+                        F.when(from_first, F.col("sub_2")).otherwise(F.col("sub_1")).alias("_in"))
+    own = members.select("subreddit", "author")
+    looked = sides.join(own, "subreddit").join(own.withColumnRenamed("subreddit", "_in"), ["_in", "author"])
+    counted = looked.groupBy("sub_1", "sub_2", "size_1", "size_2").agg(F.count(F.lit(1)).alias("shared_authors"))
+    jaccard = F.col("shared_authors") / (F.col("size_1") + F.col("size_2") - F.col("shared_authors"))
+    return counted.select("sub_1", "sub_2", "shared_authors", jaccard.alias("jaccard")).where(
+        (F.col("shared_authors") >= min_shared) & (F.col("jaccard") >= min_jaccard)
+    )

@@ -544,3 +544,27 @@ def overlap_matrix(spark: SparkSession, sf: str) -> DataFrame:
 )
 def overlap_top(spark: SparkSession, sf: str) -> DataFrame:
     return overlap.top_pairs(overlap.overlap_pairs(st.posts_meta(spark, sf)))
+
+
+ALL_PAIRS_SQL = """d AS (SELECT DISTINCT author, {0} AS subreddit FROM meta),
+    n AS (SELECT subreddit, count(*) AS n FROM d GROUP BY ALL),
+    o AS (SELECT a.subreddit AS sub_1, b.subreddit AS sub_2, count(*) AS shared_authors
+      FROM d a JOIN d b ON a.author = b.author AND a.subreddit < b.subreddit GROUP BY ALL),
+    j AS (SELECT o.*, shared_authors / (x.n + y.n - shared_authors) AS jaccard FROM o JOIN n x ON x.subreddit = sub_1 JOIN n y ON y.subreddit = sub_2)"""
+
+
+@query("overlap_everywhere", f"WITH {{meta}}, {ALL_PAIRS_SQL.format('subreddit')} SELECT sub_1, sub_2, shared_authors, round(jaccard, 6) AS jaccard FROM j")
+def overlap_everywhere(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pair of communities with a common author, without a list."""
+    return overlap.similar_communities(st.posts_meta(spark, sf), min_jaccard=0.0)
+
+
+# Each community's days as communities of their own: thousands of sets.
+@query(
+    "overlap_similar_days",
+    f"""WITH {{meta}}, {ALL_PAIRS_SQL.format("subreddit || ' ' || strftime(date, '%Y-%m-%d')")}
+    SELECT sub_1, sub_2, shared_authors, round(jaccard, 6) AS jaccard FROM j WHERE shared_authors >= 2 AND jaccard >= 0.2""",
+)
+def overlap_similar_days(spark: SparkSession, sf: str) -> DataFrame:
+    days = st.posts_meta(spark, sf).withColumn("subreddit", F.concat_ws(" ", "subreddit", F.date_format("date", "yyyy-MM-dd")))
+    return overlap.similar_communities(days, min_jaccard=0.2, min_shared=2)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from forumlens import vocab
 from forumlens.functions import text
 from forumlens.ml import balance as bal
-from forumlens.ml import classify, embedding, evaluate, features, regress, segment
+from forumlens.ml import classify, embedding, evaluate, features, neighbours, regress, segment
 from forumlens.operators import text as tx
 from forumlens.operators import topics as tp
 from forumlens.plans.registry import query
@@ -178,6 +178,13 @@ def user_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return segment.projected(_clustered(spark, sf))
 
 
+@query("user_map")
+def user_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Users laid out by their neighbours in topic space, in place of the two principal components of `user_clusters`."""
+    placed = neighbours.neighbour_map(_clustered(spark, sf).select("author", "cluster", "cluster_label", "topics"), "topics")
+    return placed.select("author", "cluster", "cluster_label", "x", "y")
+
+
 @query("cluster_profile")
 def cluster_profile(spark: SparkSession, sf: str) -> DataFrame:
     return segment.cluster_profile(_clustered(spark, sf))
