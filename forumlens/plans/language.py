@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from forumlens import vocab
 from forumlens.functions import categories, lexicon, text
+from forumlens.ml import bayes
 from forumlens.operators import lexicon as lx
 from forumlens.operators import text as tx
 from forumlens.plans.registry import query
 from forumlens.plans.tables import COARSE_SQL, FIVE_SQL, POST_TEXT_SQL, TOOL_SQL, _names
+from forumlens.session import stage
 from forumlens.sources import sample_tables as st
 
 # Word lists are arguments; these cover the words the derived posts hold.
@@ -490,3 +492,77 @@ def benefit_vs_survey(spark: SparkSession, sf: str) -> DataFrame:
 )
 def monthly_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return lx.monthly_tokens(_prepared(spark, sf))
+
+
+# --- sentiment by counts -----------------------------------------------------------------------
+# Trained on labelled documents: toxic ones are the negative class. Every fifth labelled document is held out.
+
+_LABELLED = "SELECT doc_id, CAST(toxic = 0 AS INTEGER) AS label FROM labels"
+_TOKENS = "regexp_extract_all(lower(text), '[a-z'']+|[.!?,;:]')"
+_NEGATORS = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in bayes.NEGATORS) + ")"
+_MARKS = "(" + ", ".join(f"'{m}'" for m in bayes.MARKS) + ")"
+BAYES_SQL = f"""tokens AS (SELECT doc_id, unnest(w) AS token, unnest(range(len(w))) AS pos FROM (SELECT doc_id, {_TOKENS} AS w FROM documents)),
+    seen AS (SELECT doc_id, pos, token, lag(token, 1) OVER o AS t1, lag(token, 2) OVER o AS t2, lag(token, 3) OVER o AS t3
+      FROM tokens WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+    marked AS (SELECT doc_id, pos, CASE WHEN token IN {_MARKS} THEN NULL WHEN t1 IN {_NEGATORS}
+        OR (t2 IN {_NEGATORS} AND t1 NOT IN {_MARKS}) OR (t3 IN {_NEGATORS} AND t1 NOT IN {_MARKS} AND t2 NOT IN {_MARKS})
+        THEN 'not_' || token ELSE token END AS word FROM seen),
+    feats AS (SELECT doc_id, word AS feature FROM marked WHERE word IS NOT NULL
+      UNION SELECT doc_id, word || ' ' || lead(word) OVER (PARTITION BY doc_id ORDER BY pos) FROM marked),
+    known AS (SELECT * FROM ({_LABELLED}) WHERE doc_id % 5 <> 0 AND doc_id IN (SELECT doc_id FROM documents)),
+    al AS (SELECT count(*) FILTER (label = 1) AS a1, count(*) FILTER (label = 0) AS a0 FROM known),
+    n AS (SELECT feature, count(*) FILTER (label = 1) AS n1, count(*) FILTER (label = 0) AS n0 FROM feats JOIN known USING (doc_id)
+      WHERE feature IS NOT NULL GROUP BY feature HAVING count(*) >= 3),
+    cells AS (SELECT n.*, a1, a0, unnest([n1, n0, a1 - n1, a0 - n0]) AS c, unnest([n1 + n0, n1 + n0, a1 + a0 - n1 - n0, a1 + a0 - n1 - n0]) AS r,
+      unnest([a1, a0, a1, a0]) AS k FROM n, al),
+    rated AS (SELECT feature, n1, n0, a1, a0, sum(CASE WHEN c > 0 THEN c / (a1 + a0) * ln(c * (a1 + a0) / (r * k)) ELSE 0 END) AS mi
+      FROM cells GROUP BY ALL),
+    model AS (SELECT feature, n1, n0, mi, ln(((n1 + 1) / (a1 + 2)) / ((n0 + 1) / (a0 + 2))) AS weight,
+        ln((1 - (n1 + 1) / (a1 + 2)) / (1 - (n0 + 1) / (a0 + 2))) AS without, ln((a1 + 1) / (a0 + 1)) AS prior
+      FROM rated ORDER BY round(mi, 12) DESC, feature LIMIT {{limit}}),
+    odds AS (SELECT d.doc_id, d.text, (SELECT max(prior) + sum(without) FROM model) + coalesce(g.gain, 0) AS log_odds FROM documents d LEFT JOIN (
+      SELECT doc_id, sum(weight - without) AS gain FROM feats JOIN model USING (feature) GROUP BY doc_id) g USING (doc_id))"""
+#: Features of the model: few, since few labels are given.
+FEATURES = 40
+
+
+def _bayes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    docs = bayes.with_features(st.table(spark, sf, "documents").select("doc_id", "text"))
+    labels = st.table(spark, sf, "labels").select("doc_id", (F.col("toxic") == 0).cast("int").alias("label"))
+    train = stage(docs.join(labels.where("doc_id % 5 <> 0"), "doc_id").select("doc_id", "label", "features"))
+    return docs, labels, stage(bayes.fit(train, max_features=FEATURES))
+
+
+@query("sentiment_model", f"WITH {BAYES_SQL.format(limit=FEATURES)} SELECT feature, n1, n0, round(mi, 6) AS mi, round(weight, 6) AS weight, "
+       "round(without, 6) AS without, round(prior, 6) AS prior FROM model")
+def sentiment_model(spark: SparkSession, sf: str) -> DataFrame:
+    return _bayes(spark, sf)[2]
+
+
+@query("sentiment_model_scores", f"WITH {BAYES_SQL.format(limit=FEATURES)} SELECT doc_id, round(log_odds, 6) AS log_odds, "
+       "CASE WHEN log_odds > 0 THEN 'positive' WHEN log_odds < 0 THEN 'negative' ELSE 'neutral' END AS sentiment_model FROM odds")
+def sentiment_model_scores(spark: SparkSession, sf: str) -> DataFrame:
+    docs, _, model = _bayes(spark, sf)
+    return bayes.score(docs, model, "doc_id").select("doc_id", "log_odds", "sentiment_model")
+
+
+# Held-out documents by class, and how many of them the model and the sign of the lexicon score get right.
+@query(
+    "sentiment_model_accuracy",
+    f"""WITH {BAYES_SQL.format(limit=FEATURES)}, words AS (SELECT doc_id, log_odds, list_distinct(regexp_split_to_array(lower(text), '\\s+')) AS w FROM odds),
+    h AS (SELECT doc_id, log_odds, {_hits("w", POSITIVE)} AS p, {_hits("w", NEGATIVE)} AS n FROM words)
+    SELECT label, count(*) AS n_documents, count(*) FILTER (CAST(log_odds > 0 AS INTEGER) = label) AS model_right,
+      count(*) FILTER (CAST(p > n AS INTEGER) = label) AS sign_right
+    FROM h JOIN ({_LABELLED}) USING (doc_id) WHERE doc_id % 5 = 0 GROUP BY label""",
+)
+def sentiment_model_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels, model = _bayes(spark, sf)
+    held = docs.join(labels.where("doc_id % 5 = 0"), "doc_id")
+    both = lx.with_sentiment_distinct(bayes.score(held, model, "doc_id"), POSITIVE, NEGATIVE, "text")
+
+    def right(value: str):
+        return F.count_if((F.col(value) > 0).cast("int") == F.col("label"))
+
+    return both.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n_documents"), right("log_odds").alias("model_right"), right("sentiment").alias("sign_right")
+    )
