@@ -7,7 +7,7 @@ clusters follow from event ids.
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forumlens.ml import evaluate, regress, segment
@@ -85,19 +85,24 @@ def given_topic_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return tp.community_matrix(tp.topic_counts(tp.with_dominant_topic(_weighted(spark, sf)), ["subreddit"]), K)
 
 
-# --- topic terms: the nations, dealt to topics, weigh less the later they come; one topic more than there are weights
+# --- topic terms: the words of all documents, dealt to topics by their length; one topic more than there are weights
 
-TERMS_SQL = f"""n AS (SELECT n_nationkey % {K + 1} AS topic, n_name AS term, n_nationkey // {K + 1} AS rank, 1.0 / (1 + n_nationkey // {K + 1}) AS weight FROM nation)"""
+TERMS_SQL = f"""words AS (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS term FROM documents),
+    counted AS (SELECT length(term) % {K + 1} AS topic, term, count(*) AS c FROM words WHERE term <> '' GROUP BY ALL),
+    n AS (SELECT topic, term, row_number() OVER (PARTITION BY topic ORDER BY c DESC, term) - 1 AS rank, c / sum(c) OVER (PARTITION BY topic) AS weight
+      FROM counted)"""
+#: Terms of a topic that are shown.
+SHOWN = 10
 
 
 def _terms(spark: SparkSession, sf: str) -> DataFrame:
-    n = st.table(spark, sf, "nation")
-    key = F.col("n_nationkey")
-    ranked = n.select(
-        (key % (K + 1)).cast("int").alias("topic"), F.floor(key / (K + 1)).alias("rank"), F.col("n_name").alias("term")
-    ).withColumn("weight", 1.0 / (1 + F.col("rank")))
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "term", "weight"))).alias("o")
-    return ranked.groupBy("topic").agg(ordered).select("topic", F.col("o.term").alias("terms_words"), F.col("o.weight").alias("term_weights"))
+    words = st.table(spark, sf, "documents").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term")).where("term <> ''")
+    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("c")).withColumn("topic", (F.length("term") % (K + 1)).cast("int"))
+    totals = counted.groupBy("topic").agg(F.sum("c").alias("all"))
+    best = Window.partitionBy("topic").orderBy(F.desc("c"), "term")
+    shown = counted.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= SHOWN).join(F.broadcast(totals), "topic")
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "term", (F.col("c") / F.col("all")).alias("weight")))).alias("o")
+    return shown.groupBy("topic").agg(ordered).select("topic", F.col("o.term").alias("terms_words"), F.col("o.weight").alias("term_weights"))
 
 
 @query(
