@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,9 +21,19 @@ N_LABELS = 1 + len(KINDS)
 #: Belief from which a token that no pattern matched is added.
 MIN_BELIEF = 0.5
 #: Agreeing skip edges assumed before any is seen.
-PRIOR = 100
-SWEEPS = 20
-DAMPING = 0.5
+PRIOR = 1000
+#: Mailbox names of RFC 2142, which name a service and no person, and others like them.
+ROLES = {
+    "info", "marketing", "sales", "support", "abuse", "noc", "security", "postmaster", "hostmaster", "usenet", "news",
+    "webmaster", "www", "uucp", "ftp", "admin", "contact", "hello", "help", "mail", "noreply", "office", "service", "team",
+}
+#: Message passing ends when no belief changes by more; from round CALM on messages are averaged with their last values,
+#: which ends the swings that loops can cause.
+TOLERANCE = 1e-4
+CALM = 20
+MAX_ROUNDS = 200
+#: The least message, well within single precision.
+TINY = np.float32(1e-25)
 
 _SOME = re.compile(r"[0-9@]")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -63,22 +74,33 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def base_spans(text: str) -> list[Span]:
-    """The matches of the four patterns, in the order of start and kind."""
-    if not _SOME.search(text):
-        return []
-    out = list(_emails(text))
+def _matches(text: str) -> Iterator[tuple[int, int, int, bool]]:
+    """The matches of the four patterns: start, end, label and whether the digits pass their test."""
+    for a, b, label in _emails(text):
+        yield a, b, label, True
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")):
-            out.append((m.start(), m.end(), 2))
+        yield m.start(), m.end(), 2, all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
-        if 14 <= len(digits) <= 19 and _luhn(digits):
-            out.append((m.start(), m.end(), 3))
+        if 14 <= len(digits) <= 19:
+            yield m.start(), m.end(), 3, _luhn(digits)
     for m in _PHONE.finditer(text):
-        if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
-            out.append((m.start(), m.end(), 4))
-    return sorted(out, key=lambda s: (s[0], s[2]))
+        yield m.start(), m.end(), 4, 10 <= sum(c.isdigit() for c in m[0]) <= 15
+
+
+def base_spans(text: str) -> list[Span]:
+    """The matches of the four patterns, in the order of start and kind."""
+    if not _SOME.search(text):
+        return []
+    return sorted([(a, b, label) for a, b, label, passed in _matches(text) if passed], key=lambda s: (s[0], s[2]))
+
+
+def _fails(token: str) -> bool:
+    """Whether a token is as long as a card's number and is none."""
+    if len(token) < 14:
+        return False
+    digits = "".join(c for c in token if c in "0123456789")
+    return 14 <= len(digits) <= 19 and not _luhn(digits)
 
 
 def _bucket(n: int, borders: tuple[int, ...]) -> int:
@@ -86,12 +108,14 @@ def _bucket(n: int, borders: tuple[int, ...]) -> int:
 
 
 #: Sizes of the parts of a token's pattern; their product bounds the number of patterns.
-PARTS = (2, 8, 5, 2, 2, 2, 2, 2)
+PARTS = (2, 8, 5, 2, 2, 2, 2, 2, 2)
+_STEPS = np.cumprod([1, *PARTS[:0:-1]])[::-1].tolist()
 
 
-def _pattern(token: str) -> tuple[int, ...]:
+def _pattern(token: str, rejected: bool) -> int:
+    """The number of a token's pattern; `rejected` if it is in a match of a pattern that fails its test."""
     digits = sum(c.isdigit() for c in token)
-    return (
+    parts = (
         int("@" in token),
         _bucket(digits, (1, 2, 4, 6, 8, 10, 14)),
         _bucket(token.strip(_EDGES).count("."), (1, 2, 3, 4)),
@@ -100,103 +124,201 @@ def _pattern(token: str) -> tuple[int, ...]:
         int("-" in token),
         int(any(c.isalpha() for c in token)),
         int(len(token) > 24),
+        int(rejected),
     )
+    return sum(p * step for p, step in zip(parts, _STEPS))
 
 
 def _keys(token: str) -> list[str]:
-    """What a token shares with others that mention the same thing."""
+    """What a token shares with others that mention the same thing: its letters and digits, and an address's local part."""
     core = token.strip(_EDGES).lower()
     keys = []
     plain = "".join(c for c in core if c.isalnum())
-    if len(plain) >= 5:
+    if len(plain) >= 5 and plain not in ROLES:
         keys.append(plain)
     local = core.partition("@")[0]
     if local != core:
         local = "".join(c for c in local if c.isalnum())
-        if len(local) >= 4:
+        if len(local) >= 5 and local not in ROLES:
             keys.append(local)
-    elif len(plain) == 4:
-        keys.append(plain)
     return keys
 
 
-@dataclass
 class Graph:
-    """Tokens of one or more texts that can name an entity, and the edges between them."""
-
-    owner: list
-    start: list
-    end: list
-    pattern: list
-    label: list
-    chain: list
-    skip: list
+    """Tokens of one or more texts that can name an entity, and what joins them."""
 
-    @staticmethod
-    def empty() -> Graph:
-        return Graph([], [], [], [], [], [], [])
+    def __init__(self) -> None:
+        self.owner, self.start, self.end, self.pattern, self.label = (array("q") for _ in range(5))
+        #: Whether a node's token follows the token of the node before.
+        self.chained = array("b")
+        #: Keys of nodes, numbered over all texts.
+        self.key, self.bearer = array("q"), array("q")
+        self.keys = 0
 
-    def add(self, number: int, text: str, base: list[Span]) -> None:
+    def add(self, number: int, text: str, matches: list[tuple[int, int, int, bool]]) -> None:
         """Nodes are tokens with a digit or @, and tokens that repeat the name in an address.
 
-        Chain edges join neighbours; skip edges join each token with the next one that shares a key, so a
-        key with many tokens costs as many edges as tokens.
+        A token's keys, and at the last token of a match of several tokens all its letters and digits, tell which tokens
+        mention the same thing.
         """
-        names = {k for a, b, label in base if label == 1 for k in _keys(text[a:b])}
-        spans = sorted((a, b, label) for a, b, label in base)
-        at, before, last = 0, None, {}
+        passed = sorted((a, b, label) for a, b, label, good in matches if good)
+        # A number that begins like a phone number may run on into another one, so it tells nothing about its parts.
+        failed = sorted((a, b) for a, b, label, good in matches if not good and label != 4)
+        names = {k for a, b, label in passed if label == 1 for k in _keys(text[a:b])}
+        at, bad, before, known = 0, 0, None, {}
         for k, m in enumerate(_TOKEN.finditer(text)):
-            token = m[0]
-            if not _SOME.search(token):
-                if not names or len(token) > 80 or not names.intersection(_keys(token)):
-                    continue
-            while at < len(spans) and spans[at][1] <= m.start():
+            token, start, end = m[0], m.start(), m.end()
+            if not _SOME.search(token) and not (names and names.intersection(_keys(token))):
+                continue
+            while at < len(passed) and passed[at][1] <= start:
                 at += 1
-            label = next((s[2] for s in spans[at : at + 4] if s[0] < m.end() and s[1] > m.start()), 0)
+            while bad < len(failed) and failed[bad][1] <= start:
+                bad += 1
+            span = next((s for s in passed[at : at + 4] if s[0] < end and s[1] > start), None)
             node = len(self.owner)
             self.owner.append(number)
-            self.start.append(m.start())
-            self.end.append(m.end())
-            self.pattern.append(_pattern(token))
-            self.label.append(label)
-            if before is not None and k - before[0] == 1:
-                self.chain.append((before[1], node))
-            before = (k, node)
-            for key in _keys(token):
-                if key in last and last[key] != node and (not self.chain or self.chain[-1] != (last[key], node)):
-                    self.skip.append((last[key], node))
-                last[key] = node
+            self.start.append(start)
+            self.end.append(end)
+            self.pattern.append(_pattern(token, (bad < len(failed) and failed[bad][0] < end) or _fails(token)))
+            self.label.append(span[2] if span else 0)
+            self.chained.append(before == k - 1)
+            before = k
+            keys = _keys(token)
+            if span and span[0] < start and span[1] <= end:
+                keys.append("".join(c for c in text[span[0] : span[1]].lower() if c.isalnum()))
+            for key in dict.fromkeys(keys):
+                own = known.setdefault(key, self.keys)
+                self.keys += own == self.keys
+                self.key.append(own)
+                self.bearer.append(node)
+
+    def joined(self) -> Joined:
+        """The graph's edges as lines of nodes, for passes along them.
+
+        Chain edges join tokens that follow one another. Skip edges join each bearer of a key with the next one; where the two
+        also follow one another, one edge has both potentials. A token that no pattern matched is besides joined with
+        the nearest matched bearers of its key, which are evidence, so a key may have any number of mentions.
+        """
+        n = len(self.owner)
+        label, chained = np.array(self.label, dtype=np.int64), np.array(self.chained, dtype=bool)
+        order = np.argsort(np.array(self.key, dtype=np.int64), kind="stable")
+        key, node = np.array(self.key, dtype=np.int64)[order], np.array(self.bearer, dtype=np.int64)[order]
+        place = np.arange(len(node))
+        edge = np.zeros(len(node), dtype=bool)
+        edge[1:] = key[1:] == key[:-1]
+        first = np.maximum.accumulate(np.where(edge, 0, place)) if len(place) else place
+        pair = np.full(len(node), -1, dtype=np.int64)
+        pair[edge] = node[place[edge] - 1] * n + node[edge]
+        follows = edge & chained[node] & (pair == (node - 1) * n + node)
+        both = np.zeros(n, dtype=bool)
+        both[node[follows]] = True
+        # Two keys may join the same two nodes; one edge is enough.
+        single = np.zeros(len(node), dtype=bool)
+        single[np.unique(pair, return_index=True)[1]] = True
+        skip = edge & ~follows & single
+
+        matched = label[node] > 0
+        back = np.maximum.accumulate(np.where(matched, place, -1)) if len(place) else place
+        ahead = np.minimum.accumulate(np.where(matched, place, len(node))[::-1])[::-1] if len(place) else place
+        last = np.searchsorted(first, first, side="right") - 1
+        evidence = []
+        for near, far in ((back, (back >= first) & (back < place - 1)), (ahead, (ahead <= last) & (ahead > place + 1))):
+            held = ~matched & far
+            evidence.append(np.stack([node[held], label[node[near[held]]]]))
+        held = np.zeros(int(key.max(initial=-1)) + 1, dtype=bool)
+        held[key[matched]] = True
+        mention = np.zeros(n, dtype=bool)
+        mention[node[held[key]]] = True
+        return Joined(
+            label, np.array(self.pattern, dtype=np.int64), mention & (label == 0),
+            Lines.of(np.arange(n), np.where(chained, np.where(both, BOTH, CHAIN), NEW)),
+            Lines.of(node, np.where(skip, SKIP, NEW)),
+            np.concatenate(evidence, axis=1),
+        )
+
+
+#: Kinds of edges into a place on a line; NEW begins a line.
+NEW, CHAIN, SKIP, BOTH = range(4)
+
+
+@dataclass
+class Lines:
+    """Places on lines, one after the other: each place's node and the kind of the edge from the place before."""
+
+    node: np.ndarray
+    edge: np.ndarray
+
+    @staticmethod
+    def of(node: np.ndarray, edge: np.ndarray) -> Lines:
+        """Places that no edge touches are left out."""
+        touched = edge != NEW
+        touched[:-1] |= edge[1:] != NEW
+        return Lines(node[touched], edge[touched])
+
+    def pairs(self, label: np.ndarray, kinds: tuple[int, ...]) -> np.ndarray:
+        """Labels at both ends of the edges of some kinds."""
+        at = np.flatnonzero(np.isin(self.edge, kinds))
+        return np.stack([label[self.node[at - 1]], label[self.node[at]]])
+
+
+@dataclass
+class Joined:
+    """A graph's nodes and edges as arrays; `mention` marks unmatched nodes that share a key with a matched one."""
+
+    label: np.ndarray
+    pattern: np.ndarray
+    mention: np.ndarray
+    chain: Lines
+    skip: Lines
+    evidence: np.ndarray
 
 
 @dataclass(frozen=True)
 class Model:
-    """Log potentials: of the pattern parts, of neighbours, and the weight of equal labels over a skip edge."""
+    """Log potentials: of the pattern parts, of neighbours, and the weight of equal labels over a skip edge.
+
+    `seen` are the patterns that training met; others say nothing about a token. None: all are scored.
+    """
 
     parts: np.ndarray
     chain: np.ndarray
     skip: float
+    seen: np.ndarray | None = None
 
     def node_scores(self, patterns: np.ndarray) -> np.ndarray:
-        return self.parts[patterns + _OFFSETS].sum(axis=1) + self.parts[-1]
+        different, place = np.unique(patterns, return_inverse=True)
+        parts = np.stack(np.unravel_index(different, PARTS), axis=1)
+        scores = self.parts[parts + _OFFSETS].sum(axis=1) + self.parts[-1]
+        if self.seen is not None:
+            scores[~np.isin(different, self.seen)] = 0
+        return scores.astype(np.float32)[place]
 
 
 _OFFSETS = np.concatenate([[0], np.cumsum(PARTS)[:-1]])
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (pattern, label), of neighbouring labels and of labels over skip edges."""
+    """Counts of (pattern, label), of neighbouring labels and of labels over skip edges.
+
+    Whether an unmatched mention of a matched thing is an entity is what the field is to find out: such tokens are not
+    counted, neither as nodes nor at the ends of edges.
+    """
     found: Counter = Counter()
     for batch in slices(batches, "text"):
         for text in batch.column("text").to_pylist():
             if text is None or not _SOME.search(text):
                 continue
-            graph = Graph.empty()
-            graph.add(0, text, base_spans(text))
-            for p, label in zip(graph.pattern, graph.label):
-                found["node", int(np.ravel_multi_index(p, PARTS)), label] += 1
-            for kind, edges in (("chain", graph.chain), ("skip", graph.skip)):
-                for a, b in edges:
-                    found[kind, graph.label[a], graph.label[b]] += 1
+            graph = Graph()
+            graph.add(0, text, list(_matches(text)))
+            joined = graph.joined()
+            label = np.where(joined.mention, -1, joined.label)
+            pairs = [np.stack([joined.pattern, label]), joined.chain.pairs(label, (CHAIN, BOTH))]
+            pairs.append(np.concatenate([joined.skip.pairs(label, (SKIP,)), joined.chain.pairs(label, (BOTH,))], axis=1))
+            for kind, (a, b) in zip(("node", "chain", "skip"), pairs):
+                known = (b >= 0) & (a >= 0)
+                codes, n = np.unique(a[known] * N_LABELS + b[known], return_counts=True)
+                for code, k in zip(codes.tolist(), n.tolist()):
+                    found[kind, code // N_LABELS, code % N_LABELS] += k
     columns = list(zip(*[(*k, n) for k, n in found.items()])) or [[]] * 4
     types = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["kind", "a", "b", "n"])
@@ -205,10 +327,11 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, l2: float = 1.0, steps: int = 400) -> Model:
     """Potentials from all documents, piece by piece: tokens inside pattern matches are the labelled entities.
 
-    Tasks count patterns and label pairs; at most 12,800 pattern counts and 50 pair counts reach the driver,
+    Tasks count patterns and label pairs; at most 25,600 pattern counts and 50 pair counts reach the driver,
     whatever the corpus. Token potentials are a multinomial logistic regression over the parts of a pattern,
     chain potentials the smoothed association of neighbouring labels, and the skip weight the smoothed
-    log-odds that two tokens with a common key carry the same label.
+    log-odds that two tokens with a common key carry the same label. Matches that fail their test are a part of the pattern of
+    their tokens and count as no entity.
     """
     rows = (
         docs.select(F.col("text").cast("string"))
@@ -247,61 +370,98 @@ def train(docs: DataFrame, l2: float = 1.0, steps: int = 400) -> Model:
     potentials = np.clip(np.log(chain / chain.sum() / np.outer(share, share)), -3, 3)
     same = np.trace(pairs["skip"])
     skip = float(np.clip(np.log((same + PRIOR) / (pairs["skip"].sum() - same + 1)), 0, 8))
-    return Model(weights, potentials, skip)
+    return Model(weights, potentials, skip, np.array(sorted(seen), dtype=np.int64))
 
 
-def beliefs(graph: Graph, model: Model) -> np.ndarray:
-    """Marginal label probabilities by loopy sum-product message passing; matched tokens are evidence."""
-    n = len(graph.owner)
-    scores = model.node_scores(np.array(graph.pattern).reshape(n, len(PARTS)))
-    label = np.array(graph.label, dtype=np.int64)
-    held = np.flatnonzero(label)
+def _pass(lines: Lines, here: np.ndarray, tables: np.ndarray) -> np.ndarray:
+    """Messages along all lines: into each place, from the places before it on its line.
+
+    `here` is what each place's node believes without its line. The places are cut into blocks of the root of their
+    number. All blocks step at once: first to what a block makes of any message that comes in, then, once
+    these are put together, to the messages themselves. The edges that begin lines pass nothing on.
+    """
+    n = len(lines.node)
+    width = max(1, int(np.sqrt(n)))
+    blocks = -(-n // width)
+    rows = np.ones((blocks * width, N_LABELS), dtype=np.float32)
+    rows[:n] = here
+    edges = np.zeros(blocks * width + 1, dtype=np.int8)
+    edges[:n] = lines.edge
+    rows, into = rows.reshape(blocks, width, N_LABELS), edges[:-1].reshape(blocks, width)
+    out_of = edges[1:].reshape(blocks, width)
+    through = np.broadcast_to(np.eye(N_LABELS, dtype=np.float32), (blocks, N_LABELS, N_LABELS))
+    for k in range(width):
+        through = (through * rows[:, k, None, :]) @ tables[out_of[:, k]]
+        through = through / through.sum(axis=(1, 2), keepdims=True)
+    start = np.full((blocks, N_LABELS), 1 / N_LABELS, dtype=np.float32)
+    for k in range(1, blocks):
+        step = start[k - 1] @ through[k - 1]
+        start[k] = step / step.sum()
+    out = np.empty((blocks, width, N_LABELS), dtype=np.float32)
+    now = np.where(into[:, :1] == NEW, np.float32(1 / N_LABELS), start)
+    for k in range(width):
+        out[:, k] = now
+        now = ((now * rows[:, k])[:, None, :] @ tables[out_of[:, k]])[:, 0]
+        now = now / now.sum(axis=1, keepdims=True)
+    return out.reshape(-1, N_LABELS)[:n]
+
+
+def beliefs(graph: Joined, model: Model) -> np.ndarray:
+    """Marginal label probabilities by sum-product message passing; matched tokens are evidence.
+
+    A round is a pass forward and backward along the chains of tokens, then along the lines of equal keys; a pass is exact on
+    its lines, however long. Rounds go on until no belief changes by TOLERANCE. Without loops the result is exact.
+    """
+    n = len(graph.label)
+    scores = model.node_scores(graph.pattern)
+    held = np.flatnonzero(graph.label)
     scores[held] = -30
-    scores[held, label[held]] = 0
+    scores[held, graph.label[held]] = 0
+    np.add.at(scores, (graph.evidence[0], graph.evidence[1]), np.float32(model.skip))
     scores -= scores.max(axis=1, keepdims=True)
-    edges = np.array(graph.chain + graph.skip, dtype=np.int64).reshape(-1, 2)
-    if not len(edges):
-        out = np.exp(scores)
+    agree = model.skip * np.eye(N_LABELS)
+    tables = np.exp(np.stack([np.zeros_like(agree), model.chain, agree, model.chain + agree]))
+    tables = (tables / tables.max(axis=(1, 2), keepdims=True)).astype(np.float32)
+
+    def normal(logs: np.ndarray) -> np.ndarray:
+        out = np.exp(logs - logs.max(axis=1, keepdims=True))
         return out / out.sum(axis=1, keepdims=True)
-    tables = np.concatenate(
-        [
-            np.broadcast_to(model.chain, (len(graph.chain), N_LABELS, N_LABELS)),
-            np.broadcast_to(model.skip * np.eye(N_LABELS), (len(graph.skip), N_LABELS, N_LABELS)),
-        ]
-    )
-    source = np.concatenate([edges[:, 0], edges[:, 1]])
-    target = np.concatenate([edges[:, 1], edges[:, 0]])
-    both = np.concatenate([tables, tables.transpose(0, 2, 1)])
-    half = len(edges)
-    back = np.concatenate([np.arange(half) + half, np.arange(half)])
-    messages = np.zeros((2 * half, N_LABELS))
-    for _ in range(SWEEPS):
-        gathered = scores.copy()
-        np.add.at(gathered, target, messages)
-        sent = (gathered[source] - messages[back])[:, :, None] + both
-        top = sent.max(axis=1, keepdims=True)
-        new = np.log(np.exp(sent - top).sum(axis=1)) + top[:, 0]
-        new -= new.max(axis=1, keepdims=True)
-        messages = DAMPING * messages + (1 - DAMPING) * new
-    gathered = scores.copy()
-    np.add.at(gathered, target, messages)
-    out = np.exp(gathered - gathered.max(axis=1, keepdims=True))
-    return out / out.sum(axis=1, keepdims=True)
+
+    sets = [lines for lines in (graph.chain, graph.skip) if len(lines.node)]
+    logs = [np.zeros((len(lines.node), N_LABELS), dtype=np.float32) for lines in sets]
+    total, belief = scores, normal(scores)
+    for round_ in range(MAX_ROUNDS if sets else 0):
+        for k, lines in enumerate(sets):
+            here = np.maximum(normal(total[lines.node] - logs[k]), TINY)
+            back = Lines(lines.node[::-1], np.append(lines.edge[1:], NEW)[::-1])
+            both = np.log(np.maximum(_pass(lines, here, tables), TINY))
+            both += np.log(np.maximum(_pass(back, here[::-1], tables.transpose(0, 2, 1))[::-1], TINY))
+            logs[k] = both if round_ < CALM else (logs[k] + both) / 2
+            total = scores.copy()
+            for own, messages in zip(sets, logs):
+                np.add.at(total, own.node, messages)
+        before, belief = belief, normal(total)
+        # One set of lines is without loops, and its passes are exact at once.
+        if len(sets) == 1 and len(np.unique(sets[0].node)) == len(sets[0].node) or n and np.abs(belief - before).max() < TOLERANCE:
+            break
+    return belief
 
 
 def spans(texts: list[str], model: Model) -> list[list[tuple[int, int, int, bool]]]:
     """(start, end, label, added) of each text, in the order of start and kind."""
     out: list[list] = []
-    graph = Graph.empty()
+    graph = Graph()
     for number, text in enumerate(texts):
-        base = base_spans(text)
+        matches = list(_matches(text)) if _SOME.search(text) else []
+        base = sorted([(a, b, label) for a, b, label, passed in matches if passed], key=lambda s: (s[0], s[2]))
         out.append([(a, b, label, False) for a, b, label in base])
         if _SOME.search(text):
-            graph.add(number, text, base)
+            graph.add(number, text, matches)
     if graph.owner:
-        belief = beliefs(graph, model)
+        joined = graph.joined()
+        belief = beliefs(joined, model)
         best = belief.argmax(axis=1)
-        mine = np.flatnonzero((best > 0) & (belief.max(axis=1) >= MIN_BELIEF) & (np.array(graph.label) == 0))
+        mine = np.flatnonzero((best > 0) & (belief.max(axis=1) >= MIN_BELIEF) & (joined.label == 0))
         last = None
         for k in mine.tolist():
             owner, label, text = graph.owner[k], int(best[k]), texts[graph.owner[k]]
@@ -311,7 +471,8 @@ def spans(texts: list[str], model: Model) -> list[list[tuple[int, int, int, bool
             end = graph.end[k] - (len(token) - len(token.rstrip(marks)))
             if start >= end:
                 continue
-            if last and last[0] == owner and last[2] == label and not text[last[1] : graph.start[k]].strip(_EDGES + " "):
+            # Cards and phone numbers may have several tokens; addresses have one.
+            if last and last[0] == owner and last[2] == label > 2 and not text[last[1] : graph.start[k]].strip(_EDGES + " "):
                 a = out[owner].pop()
                 start = a[0]
             out[owner].append((start, end, label, True))
