@@ -95,3 +95,7 @@ def test_look_up_splits_hot_keys(spark):
     got = look_up(rows, table, "key")
     assert {(r.id, r.value) for r in got.collect()} == {(k, 70 if k % 3 else k * 10) for k in range(3000) if k % 3 or k < 2000}
     assert look_up(rows.where("id > 5000"), table, "key").count() == 0
+    small = table.where("key > 100")
+    kept = look_up(rows.where("key IS NOT NULL"), small, "key", "left")
+    want = {(k, None if k % 3 or k <= 100 or k >= 2000 else k * 10) for k in range(3000)}
+    assert {(r.id, r.value) for r in kept.collect()} == want and kept.columns == ["key", "id", "value"]
