@@ -177,34 +177,40 @@ def brute_templates(rows, marks):
         if page is not None and value is not None:
             good[page] += value
             labelled[page] += 1
-    paths = defaultdict(lambda: [0, 0, 0])
+    paths = defaultdict(lambda: [0, 0])
     for page, host, path in rows:
-        own = paths[host, path]
-        own[0], own[1], own[2] = own[0] + 1, own[1] + good[page], own[2] + labelled[page]
+        paths[host, path][0] += good[page]
+        paths[host, path][1] += labelled[page]
     tree = {k: "" for k in paths}
-    parts = {(h, p): p.removeprefix("/").split("/", urls.LEVELS - 1) if p else [] for h, p in paths}
+    parts = {(h, p): p.removeprefix("/").split("/") if p else [] for h, p in paths}
+    closed = set()
     for level in range(max(map(len, parts.values()))):
-        children, branch = defaultdict(lambda: [0, 0, 0]), defaultdict(lambda: [0, 0, 0])
-        for key, own in parts.items():
-            if level < len(own):
-                for n, v in enumerate(paths[key]):
-                    children[key[0], tree[key], own[level]][n] += v
-                    branch[key[0], tree[key]][n] += v
-        grown = {}
-        for key, own in parts.items():
-            if level >= len(own):
-                grown[key] = tree[key]
+        open_ = [k for k in parts if k not in closed and level < len(parts[k])]
+        children, branch = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+        for key in open_:
+            for n, v in enumerate(paths[key]):
+                children[key[0], tree[key], parts[key][level]][n] += v
+                branch[key[0], tree[key]][n] += v
+        tests = Counter(c[:2] for c, (_, n) in children.items() if n >= urls.MIN_LABELS and branch[c[:2]][1] > n)
+        kinds = {}
+        for c, (g, n) in children.items():
+            ag, an = branch[c[:2]]
+            if n >= urls.MIN_LABELS and an > n:
+                gap, p = g / n - (ag - g) / (an - n), ag / an
+                if gap * gap > 2 * math.log(tests[c[:2]] / urls.ERROR) * p * (1 - p) * (1 / n + 1 / (an - n)):
+                    kinds[c] = ("+" if gap > 0 else "-") + str(min(9, math.floor(g / n * 10)))
+        sizes = Counter((c[:2], k) for c, k in kinds.items())
+        for key in open_:
+            ag, an = branch[key[0], tree[key]]
+            if not (0 < ag < an and an > urls.MIN_LABELS):
+                tree[key] += "/*" * (len(parts[key]) - level)
+                closed.add(key)
                 continue
-            (u, g, n), (au, ag, an) = children[key[0], tree[key], own[level]], branch[key[0], tree[key]]
-            literal = False
-            if au >= urls.MIN_URLS and u >= urls.MIN_SHARE * au and 0 < n < an:
-                p = ag / an
-                error = math.sqrt(p * (1 - p) * (1 / n + 1 / (an - n)))
-                literal = error > 0 and abs(g / n - (ag - g) / (an - n)) > urls.MIN_DIFFERENCE * error
-            grown[key] = tree[key] + "/" + (own[level] if literal else "*")
-        tree = grown
+            c = (key[0], tree[key], parts[key][level])
+            own = "*" if c not in kinds else "{" + kinds[c] + "}" if sizes[c[:2], kinds[c]] > 1 else c[2]
+            tree[key] += "/" + own
     sums = defaultdict(lambda: [0, 0])
-    for key, (_, g, n) in paths.items():
+    for key, (g, n) in paths.items():
         sums[key[0], tree[key]][0] += g
         sums[key[0], tree[key]][1] += n
     g, n = sum(s[0] for s in sums.values()), sum(s[1] for s in sums.values())
@@ -230,6 +236,33 @@ def test_url_tree_matches_brute_force(spark):
         assert got[k][0] == template and got[k][1] == pytest.approx(purity, abs=2e-9), (k, path)
         assert got[k][2] == ("block" if purity < urls.MIN_PURITY else "allow")
     assert {t for t, *_ in got.values()} & {"/b/*", "/b"} and len({v for *_, v in got.values()}) == 2
+    assert max(t.count("/") for t, *_ in got.values()) >= 9
+
+
+def test_bad_sections_of_a_hot_host_are_found(spark):
+    """Two sections of a hundred are bad, and thirty small ones; the good ones beside them stay."""
+    rng = random.Random(17)
+    rows, marks, bad = [], [], set()
+    for k in range(20_000):
+        section = k % 100
+        rows.append((k, f"http://hot.example/s{section}/{rng.randrange(10**6)}/{k}"))
+        worse = section in (7, 63)
+        if worse or k % 10 == section % 10:
+            marks.append((k, int(not worse)))
+        bad |= {k} if worse else set()
+    for k in range(30 * 5):
+        rows.append((30_000 + k, f"http://other.example/t{k % 30}/{k}"))
+        marks.append((30_000 + k, 0))
+        bad.add(30_000 + k)
+    rows += [(40_000 + k, f"http://other.example/fine{k % 400}/{k}") for k in range(1000)]
+    marks += [(40_000 + k, 1) for k in range(1000)]
+    # A path far deeper than any label speaks about takes no rounds of its own.
+    rows.append((50_000, "http://deep.example" + "/x" * 3000))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r for r in urls.judge(pages, spark.createDataFrame(marks, "page_id long, good int")).collect()}
+    assert {k for k, r in got.items() if r.verdict == "block"} == bad
+    assert got[7].template == "/{-0}/*/*" and got[30_000].template == "/{-0}/*" and got[8].template == "/*/*/*"
+    assert got[50_000].template == "/*" * 3000
 
 
 # --- decontamination -----------------------------------------------------------------------------------------
