@@ -21,6 +21,8 @@ OPEN = 64
 #: Partitions whose leftover windows are merged by one task, so that no task holds those of all.
 MERGED = 32
 END_ID = 1
+#: Bytes of text that are tokenized at a time, at least one text; what a worker holds grows with it.
+SLICE = 1 << 20
 #: The ids of so many words are remembered, about 40 bytes each; then all are forgotten, and the common ones
 #: are back at once.
 CACHE_WORDS = 1_000_000
@@ -197,7 +199,7 @@ def _pack(path: str, context: int, limit: int):
         part, made = TaskContext.get().partitionId(), 0
         tokenizer, windows = _tokenizer(path), Windows(context, limit)
         end = np.array([END_ID], dtype="<u4").tobytes()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             flat, borders = tokenizer.batch(batch.column("text"))
             for doc, a, b in zip(batch.column("doc_id").to_pylist(), borders[:-1].tolist(), borders[1:].tolist()):
                 ids = bytes(flat[a:b]) + end
