@@ -18,17 +18,17 @@ from forumlens.llm.common import hash_words, mix64, runs, separators, slices
 EDIT_PERCENT = 20
 #: Items of fewer words are not searched: their words meet by chance.
 MIN_WORDS = 5
-#: Embedded positions that one repetition samples.
+#: Embedded positions that one repetition samples at most: fewer find more distant copies, more leave less to verify.
 SAMPLED = 4
 RECALL = 0.97
-#: Repetitions that a class of lengths can have, and changed copies on which it is measured.
-REPEATS = (6, 12, 24, 48)
-MAX_REPEATS = REPEATS[-1]
+#: Repetitions that a class of lengths can have, those that are tried for any number of samples first, and the changed
+#: copies on which it is measured. Half the misses that the recall allows may be seen on so few copies.
+REPEATS = (6, 12, 24, 48, 96, 192)
+FEW_REPEATS, MAX_REPEATS = 48, REPEATS[-1]
 TRIALS = 192
-#: Lengths below are measured each for itself, those above in classes. The walks of items of more than WALKED_WORDS
-#: words fall out of step too often to be measured.
+SEEN = 1 - (1 - RECALL) / 2
+#: Lengths below are measured each for itself, those above in classes.
 SINGLE_WORDS = 30
-WALKED_WORDS = 128
 #: Meetings of word pairs that are looked at together, one text at least.
 MEETINGS = 1 << 21
 #: Characters of benchmark text that one pass holds in every task; a larger benchmark takes more passes.
@@ -38,8 +38,8 @@ _SEPARATORS = separators(bytes(c for c in range(33, 127) if not chr(c).isalnum()
 _NONE = np.uint64(0x5DEECE66D)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 CLASSES = 64
-#: Walks that run side by side.
-WALKS = 16_384
+#: Walks that run side by side at most, and words that they write down together.
+WALKS, WRITTEN = 16_384, 1 << 22
 
 
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -57,16 +57,18 @@ def sampled_positions(length: int, repeats: int) -> np.ndarray:
     return np.stack([rng.choice(2 * length, SAMPLED, replace=False) for _ in range(MAX_REPEATS)])[:repeats]
 
 
-def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray, repeats: int) -> np.ndarray:
-    """LSH keys (window, repetition) of the windows [start, start + length), cut at `ends`.
+def walk_keys(
+    words: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray, repeats: int, samples: list[int]
+) -> list[np.ndarray]:
+    """LSH keys (window, repetition) of the windows [start, start + length), cut at `ends`, for each number of samples.
 
     The CGK walk writes the word under its pointer at every step, and a random bit that depends on the
     step and the word says whether the pointer moves on; two similar strings soon walk in step again after
-    an edit, so edit distance becomes Hamming distance. A key hashes the words at the sampled positions.
+    an edit, so edit distance becomes Hamming distance. A key hashes the words at the first sampled positions.
     """
     sampled = {int(n): sampled_positions(int(n), repeats) for n in np.unique(lengths)}
-    out = np.zeros((len(starts), repeats), dtype=np.uint64)
-    rows = max(1, WALKS // repeats)
+    out = [np.zeros((len(starts), repeats), dtype=np.uint64) for _ in samples]
+    rows = max(1, min(WALKS, WRITTEN // (2 * int(lengths.max(initial=1)))) // repeats)
     number = np.arange(repeats, dtype=np.uint64)
     for low in range(0, len(starts), rows):
         own = slice(low, low + rows)
@@ -85,9 +87,10 @@ def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths:
             bit *= np.uint64(0x94D049BB133111EB)
             at += (bit >> np.uint64(63)).astype(np.int64)
         key = seeds * np.repeat(lengths[own], repeats).astype(np.uint64)
-        for k in range(SAMPLED):
+        for k in range(max(samples)):
             key = mix64(key * _STEP + path[read[:, k], np.arange(len(at))])
-        out[own] = key.reshape(count, repeats)
+            if k + 1 in samples:
+                out[samples.index(k + 1)][own] = key.reshape(count, repeats)
     return out
 
 
@@ -111,7 +114,7 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 @dataclass(frozen=True)
 class Pairs:
-    """Rare word pairs of the items that are found without walks: sorted hashes, item and place of each.
+    """Rare word pairs of items that walks don't find often enough: sorted hashes, item and place of each.
 
     `need` of an item's pairs are left in any part of a text within the limit.
     """
@@ -148,7 +151,7 @@ class Pairs:
 class Index:
     """Items of one pass: those found by walks, by repetitions and length, and the pairs of all others.
 
-    `walked` has, by repetitions, the items of each length, the sorted keys and the item of each key.
+    `walked` has, by samples and repetitions, the items of each length, the sorted keys and the item of each key.
     """
 
     ids: list
@@ -162,45 +165,59 @@ class Index:
         kept = [(i, words[a:b]) for (i, _), a, b in zip(rows, at[:-1], at[1:]) if b - a >= MIN_WORDS]
         ids, items = [i for i, _ in kept], [w for _, w in kept]
         repeats = repeats_by_length(items)
-        own: dict[int, list[int]] = {}
+        own: dict[tuple[int, int], list[int]] = {}
         for k, w in enumerate(items):
             own.setdefault(repeats[len(w)], []).append(k)
-        pairs = Pairs.build(items, own.pop(0, []))
+        pairs = Pairs.build(items, own.pop(NEVER, []))
         walked = {}
-        for n, numbers in sorted(own.items()):
+        for (samples, n), numbers in sorted(own.items()):
             by_length: dict[int, list[int]] = {}
             for k in numbers:
                 by_length.setdefault(len(items[k]), []).append(k)
             sizes = np.array([len(items[k]) for k in numbers], dtype=np.int64)
             ends = np.cumsum(sizes)
-            keys = walk_keys(np.concatenate([items[k] for k in numbers]), ends - sizes, ends, sizes, n).ravel()
+            keys = walk_keys(np.concatenate([items[k] for k in numbers]), ends - sizes, ends, sizes, n, [samples])[0].ravel()
             order = np.argsort(keys, kind="stable")
-            walked[n] = by_length, keys[order], np.array(numbers)[order // n]
+            walked[samples, n] = by_length, keys[order], np.array(numbers)[order // n]
         return Index(ids, items, walked, pairs)
 
 
-def repeats_by_length(items: list[np.ndarray]) -> dict[int, int]:
-    """Repetitions for each length of item; 0 where no number of them reaches the recall asked for."""
+#: Samples and repetitions of lengths whose copies no number of repetitions finds often enough.
+NEVER = (0, 0)
+
+
+def repeats_by_length(items: list[np.ndarray]) -> dict[int, tuple[int, int]]:
+    """Samples and repetitions for each length of item."""
     classes: dict[tuple, list[np.ndarray]] = {}
     for item in items:
         n = len(item)
         classes.setdefault((0, n) if n < SINGLE_WORDS else (1, int(math.log(n, 1.25))), []).append(item)
     out = {}
     for own in classes.values():
-        lengths = {len(item) for item in own}
-        repeats = 0 if max(lengths) > WALKED_WORDS else repeats_for(own)
-        out.update(dict.fromkeys(lengths, repeats))
+        out.update(dict.fromkeys({len(item) for item in own}, repeats_for(own)))
     return out
 
 
-def repeats_for(items: list[np.ndarray], target: float = RECALL) -> int:
-    """Repetitions that find items changed as far as the limit allows, or 0; measured on copies of the longest items.
+def repeats_for(items: list[np.ndarray], target: float = SEEN) -> tuple[int, int]:
+    """Samples and repetitions that find items changed as far as the limit allows.
 
-    As in a search, a copy stands in other words, and its window begins with its first pair that is whole.
+    The most samples that few repetitions do for, else two or one with more. Measured on copies of the longest items. As in
+    a search, a copy stands in other words, and its window begins with its first pair that is whole.
     """
+    for repeats, choices in ((FEW_REPEATS, range(SAMPLED, 1, -1)), (MAX_REPEATS, range(2, 0, -1))):
+        missed = _misses(items, repeats, list(choices))
+        for samples, share in zip(choices, missed):
+            for n in REPEATS:
+                if n <= repeats and share[n - 1] <= 1 - target:
+                    return samples, n
+    return NEVER
+
+
+def _misses(items: list[np.ndarray], repeats: int, choices: list[int]) -> np.ndarray:
+    """For each number of samples, the share of changed copies that 1, 2, ... repetitions miss."""
     rng = np.random.default_rng(11)
     sample = sorted(items, key=len, reverse=True)[:24]
-    misses = np.zeros(MAX_REPEATS)
+    misses = np.zeros((len(choices), repeats))
     each = -(-TRIALS // len(sample))
     for item in sample:
         copies = [_changed(item, rng) for _ in range(each)]
@@ -209,9 +226,9 @@ def repeats_for(items: list[np.ndarray], target: float = RECALL) -> int:
         parts = [item, *[np.concatenate([c, more]) for c in copies]]
         ends = np.cumsum([len(p) for p in parts])
         starts = ends - [len(p) for p in parts] + [0, *whole]
-        own = walk_keys(np.concatenate(parts), starts, ends, np.full(len(starts), len(item)), MAX_REPEATS)
-        misses += (~np.logical_or.accumulate(own[1:] == own[0], axis=1)).sum(axis=0)
-    return next((n for n in REPEATS if misses[n - 1] <= (1 - target) * each * len(sample)), 0)
+        for k, own in enumerate(walk_keys(np.concatenate(parts), starts, ends, np.full(len(starts), len(item)), repeats, choices)):
+            misses[k] += (~np.logical_or.accumulate(own[1:] == own[0], axis=1)).sum(axis=0)
+    return misses / (each * len(sample))
 
 
 def _changed(item: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -229,7 +246,7 @@ class Finder:
 
     def __init__(self, index: Index):
         self.index = index
-        self.groups: dict[int, list] = {n: [] for n in index.walked}
+        self.groups: dict[tuple[int, int], list] = {n: [] for n in index.walked}
         self.grams = [runs(words, 2) for words in index.items]
         for n, (by_length, _, _) in index.walked.items():
             lengths = sorted(by_length)
@@ -252,9 +269,9 @@ class Finder:
         """
         inside = ends[:-1] == ends[1:]
         pairs = set()
-        for repeats, (_, keys, items) in self.index.walked.items():
+        for (samples, repeats), (_, keys, items) in self.index.walked.items():
             starts, lengths = [], []
-            for own, table, mask in self.groups[repeats]:
+            for own, table, mask in self.groups[samples, repeats]:
                 classes = table[(grams & mask).astype(np.int64)]
                 some = np.flatnonzero((classes != 0) & inside)
                 classes = classes[some]
@@ -264,7 +281,7 @@ class Finder:
                     starts.append(known[upto - np.arange(len(known)) >= n - 1 - 2 * (n * EDIT_PERCENT // 100)])
                     lengths.append(np.full(len(starts[-1]), n))
             at, size = np.concatenate(starts), np.concatenate(lengths)
-            own = walk_keys(words, at, ends[at], size, repeats)
+            own = walk_keys(words, at, ends[at], size, repeats, [samples])[0]
             low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
             for w, r in zip(*np.nonzero(low < high)):
                 pairs.update((int(at[w]), int(item)) for item in items[low[w, r] : high[w, r]])
@@ -324,7 +341,8 @@ class Finder:
             before = done.get((own, item), int(at[own]))
             if start + limit < before:
                 continue
-            low, high = max(before, start - limit), min(int(at[own + 1]), start + len(query) + 2 * limit)
+            # Before its first whole pair a copy has two words for each edit, and those put in.
+            low, high = max(before, start - 3 * limit), min(int(at[own + 1]), start + len(query) + 2 * limit)
             text = words[low:high]
             if np.isin(self.grams[item], runs(text, 2)).sum() < len(query) - 1 - 2 * limit:
                 continue
@@ -335,16 +353,17 @@ class Finder:
         return found
 
 
-def _passes(benchmark: DataFrame) -> list[Index]:
+def _passes(benchmark: DataFrame) -> Iterator[Index]:
+    """The indexes of the benchmark's parts, one at a time; the driver holds no more than one."""
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
     chars = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     parts = -(-chars // PASS_CHARS)
     spread = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, parts)))
-    out = []
     for k in range(parts):
         own = rows.where(spread == k).collect()
-        out.append(Index.build(sorted(((r.item_id, r.text.encode()) for r in own), key=lambda r: (str(r[0]), r[1]))))
-    return [index for index in out if index.items]
+        index = Index.build(sorted(((r.item_id, r.text.encode()) for r in own), key=lambda r: (str(r[0]), r[1])))
+        if index.items:
+            yield index
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -357,10 +376,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words are lower-cased (A-Z) and freed of ASCII punctuation; an occurrence is a part of a document
     within one word edit for each five words of the item. Items of fewer than five words, and null texts
     on either side, take no part; empty tables give an empty result; a null doc_id stays null. Rows that
-    repeat are searched each for itself. Whole texts are searched. The number of repetitions is measured
-    by length for a recall of 0.97 at the largest distance allowed; nearer copies are found more surely, exact
-    ones always. For lengths at which no number of them reaches it, every part of a text that holds enough of
-    an item's word pairs is verified, which misses none. The benchmark goes to the tasks in passes of at most 16 million characters.
+    repeat are searched each for itself. Whole texts are searched. The samples of a key and the number of repetitions
+    are measured by length for a recall of 0.97 at the largest distance allowed; nearer copies are found more surely,
+    exact ones always. Should a length not reach it with one sample and 192 repetitions, every part of a text that
+    holds enough of an item's word pairs is verified, which misses none. The benchmark goes to the tasks in passes of
+    at most 16 million characters.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, item_id long, first_word long, end_word long, distance long, item_words long"

@@ -325,6 +325,42 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert decontaminate.drop_leaks(docs_of(spark, rows), bench.limit(0)).count() == len(rows)
 
 
+def test_search_matches_a_full_scan():
+    """All (text, item) pairs by edit distance; small items over few words, so that near misses occur by themselves."""
+    rng = random.Random(31)
+    words = [f"w{k}" for k in range(60)]
+    items = [rng.choices(words, k=rng.randint(5, 30)) for _ in range(40)]
+    texts = [rng.choices(words, k=rng.randint(0, 80)) for _ in range(150)]
+    for text in texts[:100]:
+        item = list(rng.choice(items))
+        for _ in range(rng.randint(0, len(item) // 5 + 2)):
+            at = rng.randrange(len(item))
+            item[at : at + 1] = rng.choice([[rng.choice(words)], [], [item[at], rng.choice(words)]])
+            item = item or ["w0"]
+        at = rng.randint(0, len(text))
+        text[at:at] = item
+    index = decontaminate.Index.build([(k, " ".join(i).encode()) for k, i in enumerate(items)])
+    assert not len(index.pairs.hash)
+    found = decontaminate.Finder(index).find([" ".join(t).encode() for t in texts])
+    want = {(d, i) for d, t in enumerate(texts) for i, item in enumerate(items) if edit_distance_to_part(item, t) <= len(item) // 5}
+    got = {(d, i) for d, i, *_ in found}
+    assert got <= want and len(want) > 60 and len(got) >= 0.97 * len(want)
+
+
+@pytest.mark.parametrize("size", [5, 8])
+def test_short_items_at_the_largest_distance(size):
+    rng = random.Random(size)
+    items = [rng.sample(WORDS, size) for _ in range(50)]
+    finder = decontaminate.Finder(decontaminate.Index.build([(k, " ".join(i).encode()) for k, i in enumerate(items)]))
+    texts = []
+    for k in range(400):
+        words, at = list(items[k % 50]), rng.randrange(size)
+        words[at : at + 1] = rng.choice([["new"], [], [words[at], "in"]])
+        texts.append(" ".join([*rng.sample(WORDS, 30), *words, *rng.sample(WORDS, 30)]).encode())
+    got = {(d, i) for d, i, *_ in finder.find(texts)}
+    assert len(got & {(k, k % 50) for k in range(400)}) >= 0.97 * 400
+
+
 @pytest.mark.parametrize("size", [12, 30, 50, 100, 200, 400])
 def test_leaks_of_long_items_at_the_largest_distance(size):
     rng = random.Random(size)
