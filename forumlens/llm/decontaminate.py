@@ -283,8 +283,12 @@ class Finder:
             at, size = np.concatenate(starts), np.concatenate(lengths)
             own = walk_keys(words, at, ends[at], size, repeats, [samples])[0]
             low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
-            for w, r in zip(*np.nonzero(low < high)):
-                pairs.update((int(at[w]), int(item)) for item in items[low[w, r] : high[w, r]])
+            window, repeat = np.nonzero(low < high)
+            low, met = low[window, repeat], (high - low)[window, repeat]
+            nth = np.arange(met.sum()) - np.repeat(np.cumsum(met) - met, met)
+            item = items[np.repeat(low, met) + nth]
+            code = np.unique(item * len(words) + np.repeat(at[window], met))
+            pairs.update(zip((code % len(words)).tolist(), (code // len(words)).tolist()))
         return pairs
 
     def paired(self, grams: np.ndarray, at: np.ndarray) -> set[tuple[int, int]]:
@@ -332,25 +336,34 @@ class Finder:
         if not len(words):
             return []
         ends = np.repeat(at[1:], np.diff(at))
-        found, done = [], {}
         grams = runs(words, 2)
-        for start, item in sorted(self.walked(grams, words, ends) | self.paired(grams, at)):
-            own = int(np.searchsorted(at, start, side="right")) - 1
-            query = self.index.items[item]
+        starts = self.walked(grams, words, ends) | self.paired(grams, at)
+        if not starts:
+            return []
+        start, item = np.array(sorted(starts, key=lambda p: (p[1], p[0])), dtype=np.int64).T
+        text = np.searchsorted(at, start, side="right") - 1
+        # Starts of one item that are no further apart than its length lie in one part of a text.
+        size = np.array([len(w) for w in self.index.items])[item]
+        new = np.ones(len(start), dtype=bool)
+        new[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (start[1:] - start[:-1] > size[1:])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(start)) - 1
+        found = []
+        for own, k, a, b in zip(text[first].tolist(), item[first].tolist(), start[first].tolist(), start[last].tolist()):
+            query = self.index.items[k]
             limit = len(query) * EDIT_PERCENT // 100
-            before = done.get((own, item), int(at[own]))
-            if start + limit < before:
-                continue
             # Before its first whole pair a copy has two words for each edit, and those put in.
-            low, high = max(before, start - 3 * limit), min(int(at[own + 1]), start + len(query) + 2 * limit)
-            text = words[low:high]
-            if np.isin(self.grams[item], runs(text, 2)).sum() < len(query) - 1 - 2 * limit:
-                continue
-            distance, first, last = best_match(query, text)
-            if distance <= limit:
-                found.append((own, item, low + first - int(at[own]), low + last - int(at[own]), distance))
-                done[own, item] = low + last
-        return found
+            parts = [(max(int(at[own]), a - 3 * limit), min(int(at[own + 1]), b + len(query) + 2 * limit))]
+            while parts:
+                low, high = parts.pop()
+                part = words[low:high]
+                if len(part) < len(query) - limit or np.isin(self.grams[k], runs(part, 2)).sum() < len(query) - 1 - 2 * limit:
+                    continue
+                distance, begin, end = best_match(query, part)
+                if distance <= limit:
+                    found.append((own, k, low + begin - int(at[own]), low + end - int(at[own]), distance))
+                    parts += [(low, low + begin), (low + end, high)]
+        return sorted(found)
 
 
 def _passes(benchmark: DataFrame) -> Iterator[Index]:
