@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.llm.common import stage
+from forumlens.operators.skew import look_up
 
 # Licence names and the notices they are known by.
 NOTICES = (
@@ -162,7 +163,9 @@ def scan(files: DataFrame, notices: tuple = NOTICES, min_cosine: float = MIN_COS
     """
     added = ("licence", "cosine", "inherited_from")
     carried = [c for c in files.columns if c not in ("path", "text", *added)]
-    base = files.select(*carried, F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
+    # Carried columns go by number meanwhile, as their names may be any.
+    numbered = [F.col(f"`{c}`").alias(f"carried_{k}") for k, c in enumerate(carried)]
+    base = files.select(*numbered, F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text"))
     base = base.withColumn("text_key", F.xxhash64("text"))
     plain = [Counter(re.findall(WORD, text.lower())) for _, text in notices]
     plain_texts = [Counter(re.findall(WORD, text.lower())) for _, text in texts]
@@ -226,12 +229,17 @@ def scan(files: DataFrame, notices: tuple = NOTICES, min_cosine: float = MIN_COS
         .agg(F.max(F.struct(F.length("above").alias("depth"), "above", "theirs")).alias("n"))
     )
     same = F.col("f.path").eqNullSafe(F.col("o.path")) & F.col("f.text_key").eqNullSafe(F.col("o.text_key"))
-    found = base.drop("text").alias("f").join(own.alias("o"), same, "left")
-    return found.join(nearest.alias("d"), folder_of(F.col("f.path")) == F.col("d.folder"), "left").select(
-        *[F.col(f"f.`{c}`") for c in (*carried, "path")],
-        F.coalesce("o.own", "d.n.theirs").alias("licence"),
-        "o.cosine",
-        F.when(F.col("o.own").isNull(), F.col("d.n.above")).alias("inherited_from"),
+    found = base.drop("text").alias("f").join(own.alias("o"), same, "left").select(
+        *[F.col(f"carried_{k}") for k in range(len(carried))], F.col("f.path").alias("path"),
+        folder_of(F.col("f.path")).alias("folder"), "o.own", "o.cosine",
+    )
+    # A directory may hold a third of all files.
+    return look_up(stage(found), nearest, "folder", "left").select(
+        *[F.col(f"carried_{k}").alias(c) for k, c in enumerate(carried)],
+        "path",
+        F.coalesce("own", "n.theirs").alias("licence"),
+        "cosine",
+        F.when(F.col("own").isNull(), F.col("n.above")).alias("inherited_from"),
     )
 
 

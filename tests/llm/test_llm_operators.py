@@ -590,7 +590,11 @@ def test_licences_and_inheritance(spark):
         ("long/t.txt", prose(rng, 30_000) + "\n" + apache + "\n" + prose(rng, 30_000)),
     ]
     df = spark.createDataFrame([(k, p, t) for k, (p, t) in enumerate(files)], "n long, path string, text string")
-    got = {r.n: (r.licence, r.inherited_from) for r in licences.scan(df.withColumn("licence", F.lit("?"))).collect()}
+    found = licences.scan(with_clashes(df).withColumns({c: F.lit("x") for c in ("licence", "folder", "own", "carried_0", "f.n")}))
+    assert {"text_key", "folder", "own", "carried_0", "f.n"} < set(found.columns)
+    rows = found.collect()
+    assert all(r.text_key == r.folder == r.own == r["carried_0"] == r["f.n"] == "x" for r in rows)
+    got = {r.n: (r.licence, r.inherited_from) for r in rows}
     assert len(got) == len(files)
     assert got[0] == ("Apache-2.0", None) and got[1] == ("Apache-2.0", "a") and got[3] == ("MIT", None)
     assert got[2] == ("MIT", "a/b") and got[4] == ("GPL-3.0", None) and got[5] == (None, None)
