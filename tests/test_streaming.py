@@ -7,6 +7,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from forumlens import schemas, vocab
+from forumlens.jobs import stream
 from forumlens.sources.ingest import ingest
 from forumlens.streaming import posts as streams
 
@@ -130,3 +131,17 @@ def test_ids_are_taken_once(spark, tmp_path):
     got = spark.read.parquet(out)
     assert got.count() == 50 and got.select("id").distinct().count() == 50
     assert got.where(F.col("batch") == 0).count() == 30
+
+
+def test_stream_job_takes_in_what_is_new(spark, tmp_path):
+    rng = random.Random(4)
+    source, target, log = (str(tmp_path / n) for n in ("raw", "streamed", "log"))
+    for part in range(2):
+        for kind, rows in zip(("comments", "submissions"), raw(rng, 40, 100 * part)):
+            add(spark, rows, f"{source}/{kind}", schemas.RAW_COMMENTS if kind == "comments" else schemas.SUBMISSIONS)
+        stream.run(spark, source, target, log)
+    for kind in ("comments", "submissions"):
+        posts = spark.read.parquet(f"{target}/{kind}")
+        hours = streams.read_hourly_counts(spark, f"{target}/hourly_{kind}")
+        assert posts.count() == hours.agg(F.sum("num_posts")).first()[0] > 30
+        assert [r.data_type for r in hours.select("data_type").distinct().collect()] == [kind.removesuffix("s")]
