@@ -123,8 +123,9 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         posts_meta(spark, sf_dir)
         .select("*", (F.col("event_id") % n_documents).alias("doc_id"), (F.col("event_id") % n_pages).alias("page_id"))
-        .join(documents, "doc_id")
+        # Titles first: whole texts meet a post last, so no shuffle carries them once per post.
         .join(pages, "page_id")
+        .join(documents, "doc_id")
         .selectExpr(
             "event_id", "data_type", "id", "subreddit", "author", "created_utc", "score",
             f"CASE WHEN data_type = 'comment' THEN {BODY} END AS body",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from forumlens import schemas, session
 from forumlens.session import path_bytes
 from forumlens.operators import quality
-from forumlens.sources import ingest, readers, writers
+from forumlens.sources import ingest, readers, sample_tables, writers
 
 COMMENT = ("1", "OpenAI", "u", "text", 5, 1704067200, "t3_a", "t3_a", 0, 0)
 
@@ -113,3 +113,32 @@ def test_metric_rows_and_export(spark):
     assert writers.metric_rows(spark, [("auc", 0.5)]).first()["value"] == 0.5
     df = spark.createDataFrame([("b",), ("a",), ("c",)], "id string")
     assert [r["id"] for r in writers.first_rows(df, 2).collect()] == ["a", "b"]
+
+
+def post_tables(spark, folder):
+    """Small tables that posts are derived from, with more events than texts."""
+    kinds = ["view", "signup", "purchase", "click"]
+    events = [(i, 1_700_000_000 + 60 * i, i % 5, kinds[i % 4], float(i % 9), '{"k": 3}') for i in range(60)]
+    spark.createDataFrame(events, "event_id long, t long, user_id long, event_type string, value double, props string").selectExpr(
+        "event_id", "timestamp_seconds(t) AS ts", "user_id", "event_type", "value", "props"
+    ).write.parquet(f"{folder}/events.parquet")
+    spark.createDataFrame([(i, f"text {i}") for i in range(7)], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    pages = [(i, f"http://h.org/{i}", f"<title>head {i}</title>") for i in range(5)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+
+
+def test_texts_join_posts_last(spark, tmp_path):
+    post_tables(spark, str(tmp_path))
+    for key, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(key, value)
+    try:
+        posts = sample_tables.posts(spark, str(tmp_path))
+        plan = posts._jdf.queryExecution().executedPlan().toString()
+        rows = {r["event_id"]: r for r in posts.collect()}
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(key)
+    joins = [line for line in plan.splitlines() if "Join [" in line]
+    # The topmost join brings the texts, so that no exchange above it moves them once per post.
+    assert len(joins) == 2 and "doc_id" in joins[0] and "Exchange" not in plan[: plan.index(joins[0])]
+    assert len(rows) == 60 and rows[10]["body"] is None and rows[8]["body"].startswith("text 1") and "head 2" in rows[2]["title"]
