@@ -55,3 +55,14 @@ def test_ten_thousand_communities(spark):
     pairs = overlap.overlap_pairs(posts, listed).collect()
     assert {tuple(r) for r in pairs} == {(r.sub_1, r.sub_2, r.shared_authors) for r in overlap.similar_communities(posts, 0.0).where(F.col("sub_1").isin(listed) & F.col("sub_2").isin(listed)).collect()}
     assert overlap.similar_communities(posts.limit(0)).count() == 0
+
+
+def test_pairs_with_few_common_authors_are_not_looked_up(spark, monkeypatch):
+    stored = []
+    store = overlap.stage
+    monkeypatch.setattr(overlap, "stage", lambda df: stored.append(store(df)) or stored[-1])
+    sets = {f"c{k:02}": {"-".join(map(str, sorted((k, j)))) for j in range(30) if j != k} for k in range(30)}
+    sets |= {"twin": sets["c07"], "small": {"one", "two"}}
+    got = overlap.similar_communities(rows_of(spark, sets), 0.2, 2).collect()
+    assert [tuple(r) for r in got] == [("c07", "twin", 29, 1.0)]
+    assert stored[-1].count() == 1
