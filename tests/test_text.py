@@ -200,3 +200,18 @@ def test_term_statistics(spark):
     df = spark.createDataFrame([(["a", "b", "a"],), (["a"],)], "tokens array<string>")
     got = {r["term"]: (r["total_count"], r["doc_count"]) for r in tx.term_statistics(df).collect()}
     assert got == {"a": (3, 2), "b": (1, 1)}
+
+
+def test_lemma_table_reaches_rows_without_moving_them(spark, monkeypatch):
+    rows = [(i, [f"w{(i * k) % 97}" for k in range(20)] + [None]) for i in range(50)] + [(50, None), (51, [])]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    table = spark.createDataFrame([(f"w{k}", f"l{k % 7}") for k in range(60)] + [("w3", "a"), (None, "b"), ("w5", None)], "form string, lemma string")
+    lemmas = {f"w{k}": f"l{k % 7}" for k in range(60)} | {"w3": "a"}
+    want = {i: t and [lemmas.get(w, w) for w in t] for i, t in rows}
+    got = tx.lemmatise_by_join(df, table)
+    plan = got._jdf.queryExecution().optimizedPlan()
+    assert "Join" not in plan.toString().split("Subquery")[0].split("scalar-subquery")[0] and "xxhash64(tokens" not in plan.toString()
+    assert {r["id"]: r["tokens"] for r in got.collect()} == want
+    for limit in (58, 5):  # all forms that occur fit, and do not
+        monkeypatch.setattr(tx, "LOOKUP_FORMS", limit)
+        assert {r["id"]: r["tokens"] for r in tx.lemmatise_by_join(df, table).collect()} == want
