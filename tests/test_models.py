@@ -187,3 +187,16 @@ def test_user_segments(topic_model):
     points = segment.projected(clustered)
     assert points.count() == 20 and segment.cluster_centres(points).count() == 2
     assert set(segment.wide_topics(users, 2).columns) == {"author", "topic_0", "topic_1", "comment_count", "primary_tool"}
+
+
+def test_topic_vectors_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def words(i):
+        made.add(1)
+        return [f"w{(i * k) % 11}" for k in range(1, 9)]
+
+    df = spark.range(0, 60, 1, 2).select(words("id").alias("tokens"))
+    tp.fit_topics(df, "tokens", k=2, min_df=1, max_iter=12)
+    assert made.value <= 4 * 60
