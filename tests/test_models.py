@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from forumlens.ml import balance, classify, evaluate, features, regress, segment
 from forumlens.operators import topics as tp
+from forumlens.plans import models
 from forumlens.session import stage
 
 THEMES = {0: "gpu model train loss batch".split(), 1: "bread oven flour yeast dough".split()}
@@ -200,3 +201,23 @@ def test_topic_vectors_are_made_once(spark):
     df = spark.range(0, 60, 1, 2).select(words("id").alias("tokens"))
     tp.fit_topics(df, "tokens", k=2, min_df=1, max_iter=12)
     assert made.value <= 4 * 60
+
+
+def test_thresholds_share_features(spark, sf_dir, topic_model, monkeypatch):
+    _, documents = topic_model
+    posts = documents.withColumns(
+        {"score": F.when(F.col("score") == 2, 8).otherwise(F.col("score")), "day_of_week": F.lit(1), "hour": F.lit(3),
+         "text_length": F.length("text")}
+    ).where("score > 2").withColumn("label_binary", F.lit(1.0))
+    asked = []
+    monkeypatch.setattr(models, "_FITS", {})
+    monkeypatch.setattr(models, "_engagement_posts", lambda s, sf, exclude=(), threshold=8: asked.append(exclude) or posts)
+    rows = models.engagement_metrics(spark, sf_dir).collect()
+    assert asked == [(), ("neoliberal",)]
+    assert len(rows) == 16 and {r["threshold"] for r in rows} == {8, 9}
+    labels = {t: models._engagement(spark, sf_dir, (), t).train.agg(F.avg("label_binary")).first()[0] for t in (8, 9)}
+    assert labels[8] == 1.0 and 0.3 < labels[9] < 0.7
+    direct = classify.fit_engagement(posts.withColumn("label_binary", (F.col("score") >= 9).cast("double")))
+    apart = direct.models["LogisticRegression"].coefficients.toArray()
+    shared = models._engagement(spark, sf_dir, (), 9).models["LogisticRegression"].coefficients.toArray()
+    assert abs(apart - shared).max() < 1e-6
