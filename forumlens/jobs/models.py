@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens import vocab
-from forumlens.ml import balance, classify, evaluate, features, regress, segment
+from forumlens.ml import classify, evaluate, features, regress, segment
 from forumlens.operators import text as tx
 from forumlens.operators import topics as tp
 from forumlens.session import build_session, drop_staged
@@ -61,7 +61,7 @@ def text_scores(comments: DataFrame, min_df: float = 5, max_iter: int = 5000) ->
 
 def communities(submissions: DataFrame) -> dict[str, DataFrame]:
     """Community classifiers: compared with fixed parameters, then tuned, with importances and predictions."""
-    labelled = balance.balance(features.submission_features(submissions))
+    labelled = features.balanced_submissions(submissions)
     counts = evaluate.confusions(classify.predict(classify.fit_classifiers(classify.fit_featurizer(labelled))))
     tuned, chosen = classify.tune_classifiers(classify.fit_featurizer(labelled, vocabulary=True))
     tuned_counts = evaluate.confusions(classify.predict(tuned))

@@ -221,3 +221,15 @@ def test_thresholds_share_features(spark, sf_dir, topic_model, monkeypatch):
     apart = direct.models["LogisticRegression"].coefficients.toArray()
     shared = models._engagement(spark, sf_dir, (), 9).models["LogisticRegression"].coefficients.toArray()
     assert abs(apart - shared).max() < 1e-6
+
+
+def test_dropped_submissions_are_not_cleaned(spark):
+    rows = [(f"s{i}", ["AskReddit", "OpenAI", "StableDiffusion"][i % 3], f"a [b] title {i}", None, 1, 2, 1704067200, None) for i in range(60)]
+    df = spark.createDataFrame(
+        rows, "id string, subreddit string, title string, selftext string, score long, num_comments long, created_utc long, url string"
+    )
+    out = features.balanced_submissions(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" in plan and "regexp_replace" not in plan[plan.index("Join ") :]
+    late = balance.balance(features.submission_features(df))
+    assert sorted(map(str, out.select(sorted(late.columns)).collect())) == sorted(map(str, late.select(sorted(late.columns)).collect()))
