@@ -142,3 +142,18 @@ def test_texts_join_posts_last(spark, tmp_path):
     # The topmost join brings the texts, so that no exchange above it moves them once per post.
     assert len(joins) == 2 and "doc_id" in joins[0] and "Exchange" not in plan[: plan.index(joins[0])]
     assert len(rows) == 60 and rows[10]["body"] is None and rows[8]["body"].startswith("text 1") and "head 2" in rows[2]["title"]
+
+
+def test_posts_leave_the_splits_of_a_small_file_before_they_meet_their_texts(spark, tmp_path):
+    events = spark.range(0, 400, 1, 1).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01 00:00:00' AS ts", "id % 7 AS user_id", "'view' AS event_type", "10.0D AS value", "'{}' AS props"
+    )
+    documents = spark.range(0, 40, 1, 1).selectExpr("id AS doc_id", "'text ' || id AS text")
+    pages = spark.range(0, 5, 1, 1).selectExpr("id AS page_id", "'u' AS url", "'<title>t</title>' AS html")
+    for name, df in (("events", events), ("documents", documents), ("pages", pages)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    comments = sample_tables.comments(spark, str(tmp_path))
+    parts = comments.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r["n"] for r in parts) == 400 and len(parts) > 4
+    bodies = {r["event_id"]: r["body"] for r in comments.select("event_id", "body").collect()}
+    assert len(bodies) == 400 and all(b.startswith(f"text {i % 40}") for i, b in bodies.items() if i % 17)
