@@ -134,6 +134,15 @@ def test_linear_and_ridge(spark):
     assert "subreddit_OpenAI" in low
 
 
+def test_ridge_solver_splits_rows_over_tasks(spark):
+    words = F.array(F.concat(F.lit("w"), F.col("id") % 3), F.concat(F.lit("v"), F.col("id") % 2))
+    df = numeric(spark.range(0, 30_000, 1, 4).select(
+        F.col("id").cast("string").alias("id"), (F.col("id") % 5).alias("score"), words.alias("tokens"),
+        F.when(F.col("id") % 2 == 0, "OpenAI").otherwise("GPT4").alias("subreddit"),
+    ))
+    assert regress.fit_ridge(df, min_df=2, max_df=1.0).train.rdd.getNumPartitions() == 2
+
+
 def test_classifiers_and_importance(spark):
     df = themed(spark).select(
         "id", F.when(F.col("subreddit") == "OpenAI", "Text AI").otherwise("Other").alias("ai_category"),
