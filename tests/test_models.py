@@ -242,3 +242,48 @@ def test_dropped_submissions_are_not_cleaned(spark):
     assert "regexp_replace" in plan and "regexp_replace" not in plan[plan.index("Join ") :]
     late = balance.balance(features.submission_features(df))
     assert sorted(map(str, out.select(sorted(late.columns)).collect())) == sorted(map(str, late.select(sorted(late.columns)).collect()))
+
+
+def made_words(spark, made, rows=60):
+    @F.udf("array<string>")
+    def words(i):
+        made.add(1)
+        return [f"w{(i * k) % 11}" for k in range(1, 9)]
+
+    return spark.range(0, rows, 1, 2).select(F.col("id").cast("string").alias("id"), words("id").alias("tokens"))
+
+
+def test_topic_weights_need_no_tokens(spark):
+    made = spark.sparkContext.accumulator(0)
+    df = made_words(spark, made)
+    model, counted = tp.fit_counted(df, "tokens", k=2, min_df=1, max_iter=12)
+    before = made.value
+    weights = {r["id"]: r["topicDistribution"].toArray() for r in model.weighed(counted).collect()}
+    assert made.value == before and counted.columns == ["id", "topic_counts"]
+    direct = {r["id"]: r["topicDistribution"].toArray() for r in model.transform(df).collect()}
+    assert len(direct) == 60 and all(abs(weights[i] - w).max() < 1e-9 for i, w in direct.items())
+
+
+def test_terms_are_looked_up_once_for_all_later_steps(spark):
+    made = spark.sparkContext.accumulator(0)
+    df = made_words(spark, made).withColumnRenamed("tokens", "words").withColumns(
+        {"ai_category": F.when(F.col("id") % 2 == 0, "a").otherwise("b"), **{c: F.col("id").cast("double") for c in features.NUMERIC}}
+    )
+    stages = features.classifier_stages(16)
+    model, train, test = features.fit_counted(stages, df)
+    got = {r["id"]: (r["features"], r["label"]) for r in train.union(test).collect()}
+    assert made.value <= 60
+    plain = features.fit(stages, features.split(df)[0])
+    want = {r["id"]: (r["features"], r["label"]) for r in plain.transform(df).collect()}
+    assert len(got) == 60 and [type(s) for s in model.stages] == [type(s) for s in plain.stages]
+    assert all(abs(got[i][0].toArray() - v.toArray()).max() < 1e-9 and got[i][1] == label for i, (v, label) in want.items())
+
+
+def test_topic_terms_ask_for_no_weights_or_coverage(spark, sf_dir, monkeypatch):
+    staged = []
+    monkeypatch.setattr(models, "_FITS", {})
+    monkeypatch.setattr(models, "stage", lambda df: staged.append(df.columns) or stage(df))
+    assert models.topics_lda(spark, sf_dir).count() == 15
+    assert [set(c) for c in staged] == [{*tp.POST_KEY, "subreddit", "author", "tokens_final"}]
+    assert models.topic_counts(spark, sf_dir).count() == 15 and "topicDistribution" in staged[-1]
+    assert models.topics_vocabulary(spark, sf_dir).first()["terms_kept"] > 0 and len(staged) == 2
